@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, mixing, quality_rules, secrets, simhash
+from . import decontam, mixing, quality_bt, quality_rules, secrets, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op3_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_bt.score(docs, quality_bt.train(docs, table(spark, sf_dir, "labels"))).drop("text")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.weak_quality(table(spark, sf_dir, "documents"))
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -39,7 +44,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op2_secrets, op4_quality_rules, op5_simhash, op9_decontaminate, op10_mix_sources)
+    named = (op2_secrets, op3_quality_ranking, op4_quality_rules, op5_simhash, op9_decontaminate, op10_mix_sources)
     return {f.__name__: f for f in named}
 
 
