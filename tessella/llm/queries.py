@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, hmm_lm, mixing, quality_bt, quality_rules, secrets, simhash
+from . import decontam, hmm_lm, mixing, quality_bt, quality_rules, secrets, simhash, wrapper
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,10 @@ def op7_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm_lm.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrapper.main_text(table(spark, sf_dir, "pages"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.find_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return found.drop("text")
@@ -48,7 +52,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op2_secrets, op3_quality_ranking, op4_quality_rules, op5_simhash, op7_hmm_score, op9_decontaminate, op10_mix_sources)
+    named = (op2_secrets, op3_quality_ranking, op4_quality_rules, op5_simhash, op7_hmm_score, op8_main_text, op9_decontaminate, op10_mix_sources)
     return {f.__name__: f for f in named}
 
 
