@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, hmm_lm, mixing, quality_bt, quality_rules, secrets, simhash, wrapper
+from . import decontam, hmm_lm, mixing, quality_bt, quality_rules, secrets, simhash, suffix_dedup, wrapper
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def op7_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm_lm.score_documents(table(spark, sf_dir, "documents"))
 
@@ -52,7 +56,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op2_secrets, op3_quality_ranking, op4_quality_rules, op5_simhash, op7_hmm_score, op8_main_text, op9_decontaminate, op10_mix_sources)
+    named = (op2_secrets, op3_quality_ranking, op4_quality_rules, op5_simhash, op6_suffix_dedup, op7_hmm_score, op8_main_text, op9_decontaminate, op10_mix_sources)
     return {f.__name__: f for f in named}
 
 
