@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, hmm_lm, mixing, quality_bt, quality_rules, secrets, simhash, suffix_dedup, wrapper
+from . import decontam, hmm_lm, line_dedup, mixing, quality_bt, quality_rules, secrets, simhash, suffix_dedup, wrapper
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_report(table(spark, sf_dir, "documents"))
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
@@ -56,7 +60,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op2_secrets, op3_quality_ranking, op4_quality_rules, op5_simhash, op6_suffix_dedup, op7_hmm_score, op8_main_text, op9_decontaminate, op10_mix_sources)
+    named = (op1_line_dedup, op2_secrets, op3_quality_ranking, op4_quality_rules, op5_simhash, op6_suffix_dedup, op7_hmm_score, op8_main_text, op9_decontaminate, op10_mix_sources)
     return {f.__name__: f for f in named}
 
 
