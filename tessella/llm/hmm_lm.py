@@ -33,8 +33,10 @@ from .common import Scratch, text_bytes, words
 U64 = np.uint64
 #: Additive smoothing of token counts (a fixed value of the data contract).
 ADD = 0.1
-FLUSH_TYPES = 400_000
-BLOCK_TOKENS = 400_000
+#: What a Python worker holds at once: types counted, bytes of text split into words, tokens run through the model.
+FLUSH_TYPES = 200_000
+BLOCK_BYTES = 1 << 20
+BLOCK_TOKENS = 150_000
 
 
 def held_out() -> Column:
@@ -97,9 +99,9 @@ def tokenise(docs: DataFrame, head: Head, buckets: int) -> DataFrame:
     def run(batches):
         top = shared.value
         for b in batches:
-            texts = [words(t) for t in b.column(3).to_pylist()]
-            for s, e in _blocks([len(t) for t in texts], BLOCK_TOKENS):
-                yield _tokenised(b.slice(s, e - s), texts[s:e], top, buckets)
+            texts = b.column(3).to_pylist()
+            for s, e in _blocks([len(t) for t in texts], BLOCK_BYTES):
+                yield _tokenised(b.slice(s, e - s), [words(t) for t in texts[s:e]], top, buckets)
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     read = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", held_out().alias("held_out"), text_bytes().alias("t"))
@@ -260,7 +262,7 @@ def baum_welch(tokens: DataFrame, symbols: np.ndarray, states: int, rounds: int,
     return model
 
 
-def score_documents(docs: DataFrame, states: int = 8, buckets: int = 8192, rounds: int = 4, head: int = 200_000, piece: int = 400_000) -> DataFrame:
+def score_documents(docs: DataFrame, states: int = 8, buckets: int = 8192, rounds: int = 4, head: int = 200_000, piece: int = 150_000) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every document; logs to base 10."""
     spark = docs.sparkSession
     scratch = Scratch(spark)
