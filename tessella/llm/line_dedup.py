@@ -24,33 +24,119 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACES, WORD, Scratch, doc_key
+from .common import Scratch, doc_key, slices, text_bytes
 
 U64 = np.uint64
 MULTIPLIER = 0x9E3779B97F4A7C15
+#: Rows that a Python worker holds at once.
+ROWS_AT_ONCE = 100_000
 
 
-def lines_of(docs: DataFrame) -> DataFrame:
-    """(key, place, no, line, h, n): every line with a word, white space made single, of every distinct document row."""
+def _line_rows(min_words: int):
+    """(key, place, no, h, later, halves) of every line with a word.
+
+    A line is ``later`` if the task has met the same line at an earlier place: it repeats for sure, so hot lines are
+    looked up once for each task. ``halves`` are hashes of the first and the last m words, m being half of the words,
+    rounded down, and half of one fewer; hashes of first halves are odd, those of last halves even.
+    """
+    digest = xxhash.xxh64_intdigest
+
+    def half(words: list, seed: int) -> int:
+        return (digest(b" ".join(words), seed) >> 1 << 1 | seed) - (1 << 63)
+
+    def flush(place, key, no, h, halves):
+        place, key, no, h = (np.array(x, np.int64) for x in (place, key, no, h))
+        order = np.lexsort((no, key, place, h))
+        later = np.zeros(len(h), bool)
+        later[order[1:]] = h[order[1:]] == h[order[:-1]]
+        halves = [None if x else y for x, y in zip(later.tolist(), halves, strict=True)]
+        columns = [pa.array(x) for x in (key, place, no, h, later)]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(halves, pa.list_(pa.int64()))], ["key", "place", "no", "h", "later", "halves"])
+
+    def run(batches):
+        rows = [], [], [], [], []
+        place, key, no, h, halves = rows
+        done: set[tuple[int, int]] = set()
+        for b in slices(batches):
+            for k, d, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                if (k, d) in done:  # a row that is repeated as a whole
+                    continue
+                done.add((k, d))
+                for n, line in enumerate(text.split(b"\n")):
+                    w = line.split()
+                    if not w:
+                        continue
+                    place.append(d)
+                    key.append(k)
+                    no.append(n)
+                    h.append(digest(b" ".join(w)) - (1 << 63))
+                    m = len(w)
+                    if m < min_words:
+                        halves.append(None)
+                    else:
+                        sizes = {m // 2, (m - 1) // 2}
+                        halves.append([half(w[:x], 1) for x in sizes] + [half(w[m - x :], 0) for x in sizes])
+            if len(h) > ROWS_AT_ONCE:
+                yield flush(*rows)
+                for x in rows:
+                    x.clear()
+        if h:
+            yield flush(*rows)
+
+    return run
+
+
+def line_rows(docs: DataFrame, min_words: int) -> DataFrame:
     place = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
-    exploded = docs.select(doc_key().alias("key"), place.alias("place"), F.posexplode(F.split("text", "\n")).alias("no", "raw"))
-    line = F.trim(F.regexp_replace("raw", SPACES, " "))
-    return exploded.filter(F.col("raw").rlike(WORD)).select("key", "place", "no", line.alias("line")).withColumn("h", F.xxhash64("line"))
+    read = docs.select(doc_key().alias("key"), place.alias("place"), text_bytes().alias("t"))
+    return read.mapInArrow(_line_rows(min_words), "key long, place long, no long, h long, later boolean, halves array<long>")
+
+
+def _runs(batches, width: int):
+    """Columns of rows that come sorted by the first, cut into blocks at its changes; the first as a group number."""
+    held, total = [], 0
+
+    def block(columns):
+        new = np.concatenate([[True], columns[0][1:] != columns[0][:-1]])
+        return np.cumsum(new), columns
+
+    for b in slices(batches, ROWS_AT_ONCE):
+        held.append([b.column(k).to_numpy(zero_copy_only=False) for k in range(width)])
+        total += b.num_rows
+        if total >= ROWS_AT_ONCE:
+            columns = [np.concatenate(x) for x in zip(*held, strict=True)]
+            change = np.flatnonzero(columns[0][1:] != columns[0][:-1])
+            cut = int(change[-1]) + 1 if len(change) else 0
+            if cut:
+                yield block([c[:cut] for c in columns])
+            held, total = [[c[cut:] for c in columns]], total - cut
+    if total:
+        yield block([np.concatenate(x) for x in zip(*held, strict=True)])
 
 
-def half_keys() -> Column:
-    """Hashes of the first and the last m words, m being half of the words, rounded down, and half of one fewer."""
-    n = F.size("w")
-    keys = []
-    for m, when in ((F.floor(n / 2), F.lit(True)), (F.floor((n - 1) / 2), n % 2 == 0)):
-        m = m.cast("int")
-        first = F.xxhash64(F.lit(1), m, F.array_join(F.slice("w", F.lit(1), m), " "))
-        last = F.xxhash64(F.lit(2), m, F.array_join(F.slice("w", n - m + 1, m), " "))
-        keys += [F.when(when, F.struct(first.alias("half"), F.lit(True).alias("first"))), F.when(when, F.struct(last.alias("half"), F.lit(False).alias("first")))]
-    return F.filter(F.array(*keys), lambda x: x.isNotNull())
+def _shared_halves(batches):
+    """From (half, h, place, key, no) sorted by half: the lines that share a half with a different line."""
+    for run, (half, h, place, key, no) in _runs(batches, 5):
+        starts = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
+        mixed = (np.minimum.reduceat(h, starts) != np.maximum.reduceat(h, starts))[run - 1]
+        first = half[mixed] & 1 == 1
+        columns = [h[mixed], place[mixed], key[mixed], no[mixed], first]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["h", "place", "key", "no", "first"])
+
+
+def _asked_lines(batches):
+    """From (place, key, t, found): the lines asked for, with their texts."""
+    for b in slices(batches):
+        out = []
+        for place, key, text, found in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
+            lines = text.split(b"\n")
+            out += [(x["h"], place, key, x["no"], x["first"], x["last"], b" ".join(lines[x["no"]].split())) for x in found]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.binary()]
+        columns = list(zip(*out, strict=True)) or [()] * 7
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["h", "place", "key", "no", "first", "last", "line"])
 
 
 def _word_hashes(line: bytes) -> np.ndarray:
@@ -88,23 +174,70 @@ def within_one_edit(a: list, b: list) -> bool:
 
 
 def _variant_rows(batches):
-    for b in batches:
-        h, place, key, no, first, last = (b.column(i).to_pylist() for i in range(6))
-        v, at, own, total = [], [], [], 0
-        for k, line in enumerate(b.column(6).to_pylist()):
-            whole, p, without = variants(line, first[k], last[k])
+    """(v, p, h, place, key, no, g): variants of lines, pre-aggregated.
+
+    Of the lines that a task sees with the same variant at the same position, the earliest goes on as their
+    representative (its ``g`` is the line itself); the others have found an earlier line, ``g``, and only say so.
+    """
+
+    def flush(v, p, own, rows):
+        v, p, own = np.concatenate(v).view(np.int64), np.concatenate(p), np.concatenate(own)
+        h, place, key, no = (np.array(x, np.int64)[own] for x in zip(*rows, strict=True))
+        order = np.lexsort((no, key, place, p, v))
+        v, p, h, place, key, no = (x[order] for x in (v, p, h, place, key, no))
+        new = np.concatenate([[True], (v[1:] != v[:-1]) | (p[1:] != p[:-1])])
+        start = np.maximum.accumulate(np.where(new, np.arange(len(v)), 0))
+        spread = np.where(new, v, h ^ v)  # what is settled needs no company
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (spread, p, h, place, key, no, h[start])], ["v", "p", "h", "place", "key", "no", "g"])
+
+    v, p, own, rows, total = [], [], [], [], 0
+    for b in slices(batches):
+        for h, place, key, no, first, last, line in zip(*(b.column(k).to_pylist() for k in range(7)), strict=True):
+            whole, at, without = variants(line, first, last)
             v += [np.array([whole], U64), without]
-            at += [np.array([-1]), p]
-            own.append(np.full(len(p) + 1, k))
-            total += len(p) + 1
-            if total > 200_000 or k + 1 == len(h):
-                k_of = np.concatenate(own)
-                pick = lambda c, k_of=k_of: pa.array(np.array(c, np.int64)[k_of])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(v).view(np.int64)), pa.array(np.concatenate(at).astype(np.int32)), pick(h), pick(place), pick(key), pick(no)],
-                    ["v", "p", "h", "place", "key", "no"],
-                )
-                v, at, own, total = [], [], [], 0
+            p += [np.array([-1]), at]
+            own.append(np.full(len(at) + 1, len(rows)))
+            rows.append((h, place, key, no))
+            total += len(at) + 1
+        if total > ROWS_AT_ONCE:
+            yield flush(v, p, own, rows)
+            v, p, own, rows, total = [], [], [], [], 0
+    if rows:
+        yield flush(v, p, own, rows)
+
+
+def _earlier_lines(batches):
+    """From (v, p, h, place, key, no, g) sorted by v: (h, g), a line and an earlier one that shares a variant."""
+    for run, (_, p, h, place, key, no, g) in _runs(batches, 7):
+        known = g != h
+        yield _proposals(h[known], g[known])
+        run, p, h, place, key, no = (x[~known] for x in (run, p, h, place, key, no))
+        if not len(h):
+            continue
+        order = np.lexsort((no, key, place))
+        rank = np.empty(len(h), np.int64)
+        rank[order] = np.arange(len(h))  # order in the corpus; equal places are the same line
+        by = np.lexsort((rank, p, run))
+        run, p, h, rank = run[by], p[by], h[by], rank[by]
+        new_run = np.concatenate([[True], run[1:] != run[:-1]])
+        new = new_run | np.concatenate([[True], p[1:] != p[:-1]])
+        far = len(h)
+        # The earliest line with the word left out at the same position; the earliest that is the variant itself; the
+        # earliest of those that are it without some word.
+        same = rank[np.maximum.accumulate(np.where(new, np.arange(far), 0))]
+        starts = np.flatnonzero(new_run)
+        index = np.cumsum(new_run) - 1
+        whole = np.minimum.reduceat(np.where(p < 0, rank, far), starts)[index]
+        shorter = np.minimum.reduceat(np.where(p >= 0, rank, far), starts)[index]
+        other = np.where(p < 0, shorter, np.minimum(same, whole))
+        ok = other < rank
+        by_rank = np.empty(far, np.int64)
+        by_rank[rank] = h
+        yield _proposals(h[ok], by_rank[other[ok]])
+
+
+def _proposals(h: np.ndarray, g: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(h), pa.array(g)], ["h", "g"])
 
 
 def _verified(batches):
@@ -113,49 +246,45 @@ def _verified(batches):
         yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(ok, pa.bool_()))], ["h"])
 
 
-def near_lines(lines: DataFrame, min_words: int = 5) -> DataFrame:
+def near_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     """(h): hashes of lines that have an earlier line within one edit, but not equal."""
-    scratch = Scratch(lines.sparkSession)
-    long = lines.withColumn("w", F.split("line", " ")).filter(F.size("w") >= min_words)
-    halves = long.select("h", F.explode(half_keys()).alias("x")).select("h", "x.half", "x.first")
-    mixed = halves.groupBy("half").agg(F.min("h").alias("a"), F.max("h").alias("b")).filter("a <> b").select("half")
-    shared = halves.join(mixed, "half").groupBy("h").agg(F.max("first").alias("first"), F.max(~F.col("first")).alias("last"))
-    earliest = long.groupBy("h").agg(F.min(F.struct("place", "key", "no")).alias("o"), F.first("line").alias("line"))
-    asked = earliest.join(shared, "h").select("h", "o.place", "o.key", "o.no", "first", "last", F.col("line").cast("binary").alias("line"))
-    asked = scratch.table(asked)
-    rows = asked.mapInArrow(_variant_rows, "v long, p int, h long, place long, key long, no long")
-    o = F.struct("place", "key", "no", "h")
-    everything = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    met = (
-        rows.withColumn("o", o)
-        .withColumn("same_place", F.min("o").over(everything("v", "p")))
-        .withColumn("whole", F.min(F.when(F.col("p") < 0, F.col("o"))).over(everything("v")))
-        .withColumn("shorter", F.min(F.when(F.col("p") >= 0, F.col("o"))).over(everything("v")))
-    )
-    other = F.when(F.col("p") < 0, F.col("shorter")).otherwise(F.least("same_place", "whole"))
-    proposed = met.select("h", "o", other.alias("to")).filter("to < o").groupBy("h").agg(F.min("to").alias("to")).select("h", F.col("to.h").alias("g"))
-    text = asked.select(F.col("h").alias("g"), F.col("line").alias("other"))
-    pairs = proposed.join(asked.select("h", "line"), "h").join(text, "g").select("h", "line", "other")
-    found = scratch.table(pairs.mapInArrow(_verified, "h long"), keep=True)
+    scratch = Scratch(docs.sparkSession)
+    halves = firsts.select(F.explode("halves").alias("half"), "h", "place", "key", "no")
+    sharing = halves.repartition("half").sortWithinPartitions("half").mapInArrow(_shared_halves, "h long, place long, key long, no long, first boolean")
+    once = sharing.groupBy("h", "place", "key", "no").agg(F.max("first").alias("first"), F.max(~F.col("first")).alias("last"))
+    by_doc = once.groupBy("key").agg(F.first("place").alias("place"), F.collect_list(F.struct("h", "no", "first", "last")).alias("found"))
+    texts = docs.select(doc_key().alias("key"), text_bytes().alias("t")).join(by_doc, "key").select("place", "key", "t", "found")
+    schema = "h long, place long, key long, no long, first boolean, last boolean, line binary"
+    asked = scratch.table(texts.mapInArrow(_asked_lines, schema))
+    rows = asked.dropDuplicates(["h"]).mapInArrow(_variant_rows, "v long, p long, h long, place long, key long, no long, g long")
+    met = rows.repartition("v").sortWithinPartitions("v").mapInArrow(_earlier_lines, "h long, g long")
+    proposed = met.groupBy("h").agg(F.min("g").alias("g"))
+    line = asked.groupBy("h").agg(F.first("line").alias("line"))
+    pairs = proposed.join(line, "h").join(line.select(F.col("h").alias("g"), F.col("line").alias("other")), "g").select("h", "line", "other")
+    found = scratch.table(pairs.mapInArrow(_verified, "h long").distinct(), keep=True)
     scratch.clear()
     return found
 
 
 def line_decisions(docs: DataFrame, min_words: int = 5) -> DataFrame:
     """(key, n_lines, n_exact, n_near, dropped): by document row key, the lines that go and why."""
-    lines = lines_of(docs)
-    near = near_lines(lines, min_words).withColumn("near", F.lit(True))
-    place = F.struct("place", "key", "no")
-    first = lines.groupBy("h").agg(F.min(place).alias("first"))
-    slim = lines.select("h", "key", "no", place.alias("o")).join(first, "h").join(near, "h", "left")
-    exact = F.col("first") < F.col("o")
-    dropped = exact | F.col("near").isNotNull()
-    once = slim.select("key", "no", exact.alias("exact"), dropped.alias("dropped")).groupBy("key", "no").agg(F.first("exact").alias("exact"), F.first("dropped").alias("dropped"))
+    scratch = Scratch(docs.sparkSession)
+    rows = scratch.table(line_rows(docs, min_words), keep=True)
+    nth = F.row_number().over(Window.partitionBy("h").orderBy("place", "key", "no"))
+    # Of rows that stand at the same place, whole repeats of a document row, each is as early as the other.
+    at = F.struct("place", "key", "no")
+    first = F.first(at).over(Window.partitionBy("h").orderBy("place", "key", "no"))
+    looked = rows.filter("NOT later").withColumn("exact", first != at).withColumn("lead", nth == 1)
+    looked = scratch.table(looked.select("key", "place", "no", "h", "halves", "exact", "lead"), keep=True)
+    near = near_lines(docs, looked.filter("lead AND halves IS NOT NULL")).withColumn("near", F.lit(True))
+    settled = rows.filter("later").select("key", "no", F.lit(True).alias("exact"), F.lit(False).alias("near"))
+    judged = looked.join(near, "h", "left").select("key", "no", "exact", (F.col("near").isNotNull() & ~F.col("exact")).alias("near"))
+    once = settled.unionByName(judged).groupBy("key", "no").agg(F.max("exact").alias("exact"), F.max("near").alias("near"))
     return once.groupBy("key").agg(
         F.count("*").alias("n_lines"),
         F.count(F.when(F.col("exact"), 1)).alias("n_exact"),
-        F.count(F.when(F.col("dropped") & ~F.col("exact"), 1)).alias("n_near"),
-        F.array_sort(F.collect_list(F.when(F.col("dropped"), F.col("no")))).alias("dropped"),  # at most a text's lines
+        F.count(F.when(F.col("near"), 1)).alias("n_near"),
+        F.array_sort(F.collect_list(F.when(F.col("exact") | F.col("near"), F.col("no").cast("int")))).alias("dropped"),  # at most a text's lines
     )
 
 
