@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .draws import mixed
 from .ranking import dense_index
 
 
 def shuffle_key(idx: Column, epoch: int, seed: int = 0) -> Column:
-    """A pseudo-random order of positions, another one for each epoch; equal keys cannot occur below 2 ** 31 positions."""
-    return F.pmod((idx + 1) * F.lit(48271) + F.lit((epoch + 1) * 69621 + seed * 40014), F.lit(2147483647)) * F.lit(4294967296) + idx
+    """A pseudo-random order of positions, another one for each epoch; the position itself breaks ties."""
+    return mixed(idx, epoch, seed) * F.lit(4294967296) + idx
 
 
 def epoch_order(spark: SparkSession, n: int, epoch: int, serial: bool = False, seed: int = 0) -> DataFrame:
@@ -74,10 +75,7 @@ def crop_and_flip(rows: DataFrame, width: Column, height: Column, preprocess: st
     else:
         new_w, new_h = width, height
 
-    def draw(n: Column, kind: int) -> Column:
-        mixed = F.pmod((F.col("idx") + 1) * 16807 + (F.col("epoch") + 1) * 48271 + F.lit(kind * 69621 + salt), F.lit(2147483647))
-        return F.pmod(F.pmod(mixed * 48271, F.lit(2147483647)), n)
-
+    draw = lambda n, kind: F.pmod(mixed(F.col("idx"), F.col("epoch"), 4 * salt + kind), n)
     room = lambda size: F.greatest(F.lit(0), size - crop) + 1
     return rows.select(
         "*",

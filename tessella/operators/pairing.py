@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .draws import mixed
+
 
 def _renamed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select([F.col(c).alias(f"{prefix}_{c}") for c in df.columns])
@@ -21,9 +23,8 @@ def cyclic_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def drawn(idx: Column, epoch: int, n: int, salt: int = 0) -> Column:
-    """An index below n, uniform and independent for each position and epoch, from integer arithmetic alone."""
-    mixed = F.pmod(idx * 1103515245 + F.lit(epoch * 12345 + salt * 2654435761 % 2147483647), F.lit(2147483647))
-    return F.pmod(F.pmod(mixed * 16807 + F.lit(7), F.lit(2147483647)), F.lit(n))
+    """An index below n for each position and epoch."""
+    return F.pmod(mixed(idx, epoch, 1000 + salt), F.lit(n))
 
 
 def random_pairs(a: DataFrame, b: DataFrame, epoch: int = 0) -> DataFrame:

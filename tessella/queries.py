@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .functions import scalars as S
 from .functions.schedules import learning_rates
 from .operators import confusion, epochs, losses, pairing
+from .operators.draws import mixed_sql
 from .operators.ranking import capped_batches, dense_index, first_samples, truncated
 from .plans.config import checkpoint_name
 from .sources import listing, sinks
@@ -166,7 +167,7 @@ def j1_cyclic_pair(spark, sf_dir):
     return pairing.cyclic_pairs(_docs(spark, sf_dir), _items(spark, sf_dir)).select("idx", "a_idx", "b_idx", "a_doc_id", "b_item_id")
 
 
-@query(PAIRED.format(b_idx="((((i * 1103515245 + 3 * 12345) % 2147483647) * 16807 + 7) % 2147483647) % nb"))
+@query(PAIRED.format(b_idx=f"{mixed_sql('i', 3, 1000)} % nb"))
 def j2_random_pair(spark, sf_dir):
     return pairing.random_pairs(_docs(spark, sf_dir), _items(spark, sf_dir), epoch=3).select("idx", "a_idx", "b_idx", "a_doc_id", "b_item_id")
 
@@ -211,7 +212,7 @@ def j5_checked_pairs(spark, sf_dir):
     return pairing.checked_pairs(maps, photos).select("idx", "a_path", "b_path", "frame")
 
 
-EPOCH_KEY = "((i + 1) * 48271 + (2 + 1) * 69621) % 2147483647 * 4294967296 + i"
+EPOCH_KEY = f"{mixed_sql('i', 2, 0)} * 4294967296 + i"
 EPOCH_SQL = f"(SELECT i AS idx, row_number() OVER (ORDER BY {EPOCH_KEY}) - 1 AS pos FROM range((SELECT count(*) FROM documents)) t(i))"
 
 
@@ -221,9 +222,10 @@ def j6_gather(spark, sf_dir):
     return pairing.gather(epochs.epoch_order(spark, docs.count(), 2), docs).select("epoch", "pos", "idx", "doc_id")
 
 
-@query("SELECT vec_id, label, CASE label WHEN 0 THEN 7 WHEN 1 THEN 8 WHEN 2 THEN 11 WHEN 5 THEN 255 END::INT AS train_id FROM embeddings")
+@query("SELECT vec_id, label, CASE label WHEN 0 THEN 7 WHEN 1 THEN 8 WHEN 2 THEN 11 WHEN 5 THEN 255 ELSE -1 END::INT AS train_id FROM embeddings")
 def j7_lookup(spark, sf_dir):
-    return pairing.looked_up(table(spark, sf_dir, "embeddings").select("vec_id", "label"), "label", {0: 7, 1: 8, 2: 11, 5: 255}, "train_id")
+    found = pairing.looked_up(table(spark, sf_dir, "embeddings").select("vec_id", "label"), "label", {0: 7, 1: 8, 2: 11, 5: 255}, "train_id")
+    return found.fillna(-1, "train_id")
 
 
 @query("SELECT url FROM pages ORDER BY string_split(url, '/'), url LIMIT 37")
@@ -297,15 +299,12 @@ def a17_lengths(spark, sf_dir):
     return n_a.join(n_b).select("n_a", "n_b", F.greatest("n_a", "n_b").alias("length"), F.least("n_a", F.lit(100)).cast("long").alias("capped"))
 
 
-DRAW = "((((idx + 1) * 16807 + 48271 + {kind} * 69621) % 2147483647) * 48271 % 2147483647) % {n}"
-
-
 @query(
     f"""
 WITH r AS (SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS idx, 300 + p_size * 7 AS width, 280 + p_size * 3 AS height FROM part)
-SELECT idx, 0 AS epoch, width, height, ({DRAW.format(kind=1, n="(greatest(0, 286 - 256) + 1)")})::INT AS crop_x,
-       ({DRAW.format(kind=2, n="(greatest(0, 286 * height // width - 256) + 1)")})::INT AS crop_y,
-       ({DRAW.format(kind=3, n=1000)}) >= 500 AS flip FROM r"""
+SELECT idx, 0 AS epoch, width, height, ({mixed_sql('idx', 0, 1)} % (greatest(0, 286 - 256) + 1))::INT AS crop_x,
+       ({mixed_sql('idx', 0, 2)} % (greatest(0, 286 * height // width - 256) + 1))::INT AS crop_y,
+       {mixed_sql('idx', 0, 3)} % 1000 >= 500 AS flip FROM r"""
 )
 def p3_crop_and_flip(spark, sf_dir):
     parts = dense_index(table(spark, sf_dir, "part").select("p_partkey", "p_size"), "p_partkey")
