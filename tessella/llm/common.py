@@ -22,6 +22,13 @@ def words(text: bytes) -> list[bytes]:
     return text.translate(LOWER).split()
 
 
+def slices(batches, rows: int = 256):
+    """Arrow batches cut into small ones, so that a Python worker holds few texts at once."""
+    for b in batches:
+        for k in range(0, b.num_rows, rows):
+            yield b.slice(k, rows)
+
+
 def text_bytes(name: str = "text") -> Column:
     """The text as UTF-8 bytes; null counts as empty."""
     return F.coalesce(F.col(name).cast("string").cast("binary"), F.lit(b""))

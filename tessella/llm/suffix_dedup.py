@@ -34,14 +34,16 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, text_bytes
+from .common import Scratch, slices, text_bytes
 from .grouping_sa import suffix_array
 
 U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15
 SEGMENT = 1 << 19
 PLACE_BITS = U64(20)
-CONTEXTS_AT_ONCE = 8_000
+#: Rows that a Python worker holds at once.
+ANCHORS_AT_ONCE = 100_000
+CONTEXTS_AT_ONCE = 4_000
 
 
 @lru_cache(maxsize=2)
@@ -180,21 +182,37 @@ def _batch(**columns) -> pa.RecordBatch:
 
 
 def _anchor_rows(window: int, seed: int):
+    """(key, ctx, dk, pack, known) of all anchors, pre-aggregated.
+
+    Places of the same context that a task sees together are repeated for sure: the first of them stands for all where
+    the key is looked up, and the others go on under a key of their own, marked as known, so that they don't pile up.
+    """
+
+    def flush(rows):
+        key, ctx, dk, packs = map(np.concatenate, zip(*rows, strict=True))
+        order = np.lexsort((packs, dk, ctx, key))
+        key, ctx, dk, packs = key[order], ctx[order], dk[order], packs[order]
+        new = np.concatenate([[True], (key[1:] != key[:-1]) | (ctx[1:] != ctx[:-1])])
+        known = ~new | ~np.append(new[1:], True)
+        own = _mix(dk.view(U64) ^ _mix(packs.astype(U64) + U64(BASE))).view(np.int64)
+        return _batch(key=np.where(new, key, own), ctx=ctx, dk=dk, pack=packs, known=known)
+
     def run(batches):
-        for b in batches:
-            done: set[int] = set()
-            rows = []
+        done: set[int] = set()
+        rows, total = [], 0
+        for b in slices(batches):
             for dk, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 found = anchors(text, window, seed) if dk not in done else None
                 done.add(dk)
                 if found is not None:
                     key, context, *where = found
                     rows.append((key.view(np.int64), context.view(np.int64), np.full(len(key), dk), pack(*where)))
-                if len(rows) >= 500:
-                    yield _batch(**dict(zip(("key", "ctx", "dk", "pack"), map(np.concatenate, zip(*rows, strict=True)), strict=True)))
-                    rows = []
-            if rows:
-                yield _batch(**dict(zip(("key", "ctx", "dk", "pack"), map(np.concatenate, zip(*rows, strict=True)), strict=True)))
+                    total += len(key)
+                if total > ANCHORS_AT_ONCE:
+                    yield flush(rows)
+                    rows, total = [], 0
+        if rows:
+            yield flush(rows)
 
     return run
 
@@ -203,7 +221,7 @@ def _context_rows(window: int):
     """From (dk, t, found): contexts of usual anchors as they are, windows of hot ones by hash (context null)."""
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             for dk, text, found in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 key, packs, contexts = [], [], []
                 for x in found:
@@ -235,7 +253,7 @@ def _search(window: int, seed: int, block: int):
     def run(batches):
         held: list[tuple] = []
         total = 0
-        for b in batches:
+        for b in slices(batches, CONTEXTS_AT_ONCE):
             key, dk, packs = (b.column(i).to_numpy() for i in range(3))
             held.append((key, dk, packs, b.column(3).to_pylist()))
             total += len(key)
@@ -262,7 +280,7 @@ def repeats(docs: DataFrame, window: int = 200, seed: int = 48, block: int = 19,
         raise ValueError("window - seed must be a multiple of block and below 256")
     scratch = Scratch(docs.sparkSession)
     texts = docs.select(F.xxhash64("text").alias("dk"), text_bytes().alias("t"))
-    rows = texts.filter(F.length("t") >= window).mapInArrow(_anchor_rows(window, seed), "key long, ctx long, dk long, pack long")
+    rows = texts.filter(F.length("t") >= window).mapInArrow(_anchor_rows(window, seed), "key long, ctx long, dk long, pack long, known boolean")
     by_context = Window.partitionBy("key", "ctx").orderBy("dk", "pack")
     whole = by_context.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     by_key = Window.partitionBy("key")
@@ -270,7 +288,7 @@ def repeats(docs: DataFrame, window: int = 200, seed: int = 48, block: int = 19,
     place = F.struct("dk", "pack")
     classed = (
         rows.repartition("key")
-        .withColumn("again", F.min(place).over(whole) != F.max(place).over(whole))
+        .withColumn("again", F.max("known").over(whole) | (F.min(place).over(whole) != F.max(place).over(whole)))
         .withColumn("lead", F.row_number().over(by_context) == 1)
         .withColumn("contexts", F.sum(F.col("lead").cast("int")).over(by_key))
         .withColumn("open", F.max((~F.col("again")).cast("int")).over(by_key) == 1)
@@ -318,7 +336,7 @@ def remove_repeats(docs: DataFrame, **options) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept) of every document; ``kept`` holds the remaining bytes."""
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             out = [
                 (len(t), *kept(t, [(x["s"], x["e"]) for x in found or ()]))
                 for t, found in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)
