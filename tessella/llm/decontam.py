@@ -24,12 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, text_bytes, word_count
+from .common import LOWER, slices, text_bytes, word_count
 
 #: ASCII punctuation to space, A-Z to a-z.
 FOLD = bytes(32 if b < 128 and not chr(b).isalnum() else LOWER[b] for b in range(256))
 U64 = np.uint64
-BLOCK_WORDS = 1 << 20
+#: Words whose windows a Python worker hashes at once.
+BLOCK_WORDS = 1 << 18
 
 
 def tokens(text: bytes | None) -> list[bytes]:
@@ -162,7 +163,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, span: int = 13, similarity
 
         def scan(batches, index=index):
             seeds = index.value
-            for batch in batches:
+            for batch in slices(batches, 1024):
                 column = batch.schema.get_field_index("_t")
                 texts = [tokens(t) for t in batch.column(column).to_pylist()]
                 rows = [list(x or ()) for x in batch.column(batch.schema.get_field_index("_hits")).to_pylist()]
