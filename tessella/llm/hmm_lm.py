@@ -36,7 +36,7 @@ ADD = 0.1
 #: What a Python worker holds at once: types counted, bytes of text split into words, tokens run through the model.
 FLUSH_TYPES = 200_000
 BLOCK_BYTES = 1 << 20
-BLOCK_TOKENS = 150_000
+BLOCK_TOKENS = 300_000
 
 
 def held_out() -> Column:
@@ -262,7 +262,7 @@ def baum_welch(tokens: DataFrame, symbols: np.ndarray, states: int, rounds: int,
     return model
 
 
-def score_documents(docs: DataFrame, states: int = 8, buckets: int = 8192, rounds: int = 4, head: int = 200_000, piece: int = 150_000) -> DataFrame:
+def score_documents(docs: DataFrame, states: int = 8, buckets: int = 8192, rounds: int = 4, head: int = 200_000, piece: int = 300_000) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every document; logs to base 10."""
     spark = docs.sparkSession
     scratch = Scratch(spark)
