@@ -73,6 +73,7 @@ def measures(docs: DataFrame) -> DataFrame:
         "doc_id", "word_chars", "n_symbols", "n_upper", "n_marks",
         F.size("w").cast("long").alias("n_words"),
         F.size(F.array_distinct("w")).cast("long").alias("n_distinct"),
+        F.size(F.filter("w", lambda x, i: (i > 0) & (x == F.get("w", i - 1)))).cast("long").alias("n_stutters"),
         F.size("l").cast("long").alias("n_lines"),
         (F.size("l") - F.size(F.array_distinct("l"))).cast("long").alias("n_dup_lines"),
         F.when(F.size("w") >= WINDOW, windows).alias("g"),
@@ -91,7 +92,8 @@ def rules() -> dict[str, Column]:
     mean = F.col("word_chars") / n
     symbols, repeats, marks = F.col("n_symbols") / n, F.col("n_repeat_words") / n, F.col("n_marks") / n
     upper = F.col("n_upper") / F.greatest(F.col("word_chars"), F.lit(1))
-    distinct, dups = F.col("n_distinct") / n, F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1))
+    # Distinct words grow about as the root of all words, so their share alone would speak against long texts.
+    distinct, dups = F.col("n_distinct") / F.sqrt(n), F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1))
     bad = {
         "short": F.col("n_words") < 10,
         "word_length": (mean < 2.2) | (mean > 14),
@@ -99,11 +101,12 @@ def rules() -> dict[str, Column]:
         "repeats": repeats > 0.2,
         "capitals": (upper > 0.5) & (F.col("n_words") >= 10),
         "marks": marks > 0.4,
-        "few_words": (F.col("n_words") >= 30) & (distinct < 0.1),
+        "few_words": (F.col("n_words") >= 30) & (distinct < 1),
+        "stutters": (F.col("n_words") >= 10) & (F.col("n_stutters") / n > 0.2),
         "lines": (F.col("n_lines") >= 4) & (dups > 0.3),
     }
     prose = (F.col("n_words") >= 30) & (mean >= 3) & (mean <= 10) & (symbols <= 0.02) & (upper <= 0.1) & (repeats <= 0.05)
-    varied = (F.col("n_words") >= 50) & (distinct >= 0.35) & (dups <= 0.1) & (marks <= 0.05) & (symbols <= 0.05)
+    varied = (F.col("n_words") >= 50) & (distinct >= 3) & (dups <= 0.1) & (marks <= 0.05) & (symbols <= 0.05)
     votes = {r: F.when(c, -1).otherwise(0) for r, c in bad.items()}
     return votes | {"prose": F.when(prose, 1).otherwise(0), "varied": F.when(varied, 1).otherwise(0)}
 
