@@ -8,7 +8,7 @@ of the pivot that nearly always carries the same text is template; leaves whose
 are slots and carry content. Pages with equal remaining text count once, so mirrored articles don't become template.
 
 What varies from page to page without being content (menus, adverts, comments, ...) is told by element and attribute
-names; if a page marks its article or main part, only that part is content.
+names, and menus by being links; if a page marks its article or main part, only that part is content.
 
 A pivot tree is a few kB; pivots are broadcast only if all of them together are below ``broadcast_bytes`` and joined by
 host otherwise. No task holds a host's pages. Children are aligned in linear memory, however many there are.
@@ -52,6 +52,11 @@ MARKS = frozenset(
     "newsletter subscribe subscription signup login social share sharing shares related recommended recommendations comment comments commentlist reply replies respond disqus "
     "widget widgets pagination pager toolbar search skip hidden alert warning disclaimer copyright tags toc outbrain taboola paywall".split()
 )
+#: Beginnings of such words (cookiebar, commentlist, ...), words that turn a mark into a remark about another element
+#: (has-sidebar, no-ads), and words for articles: their headers are content.
+MARK_STEMS = ("cookie", "advert", "sidebar", "comment", "newsletter", "breadcrumb", "navbar", "footer", "sponsor", "popup", "subscri", "respon", "discuss", "feedback")
+REMARKS = frozenset("has with no without not".split())
+OF_ARTICLES = frozenset("article post entry story content".split())
 CLOSES_P = BLOCKS - {"option", "optgroup", "html", "head", "body", "title"}
 #: An opening tag ends an open element of these, up to the given container.
 SIBLINGS = {
@@ -63,7 +68,11 @@ RAW_END = {t: re.compile(rf"</{t}\b[^>]*>", re.IGNORECASE) for t in RAW}
 
 @dataclass
 class Tree:
-    """Nodes in page order: label, children, text (leaves), whether ruled out, and the article or main part it is in."""
+    """Nodes in page order.
+
+    Each has a label, children, a text (leaves) and its hash, whether it is ruled out, the article or main part it is in,
+    and whether its text is mostly links. ``rank`` orders the kinds of parts.
+    """
 
     label: list[str] = field(default_factory=list)
     children: list[list[int]] = field(default_factory=list)
@@ -71,9 +80,10 @@ class Tree:
     hash: list[int] = field(default_factory=list)
     out: list[bool] = field(default_factory=list)
     part: list[int] = field(default_factory=list)
+    links: list[bool] = field(default_factory=list)
     rank: dict[int, int] = field(default_factory=dict)
 
-    def add(self, parent: int, label: str, text: str, out: bool, part: int) -> int:
+    def add(self, parent: int, label: str, text: str, out: bool, part: int, links: bool = False) -> int:
         k = len(self.label)
         self.label.append(label)
         self.children.append([])
@@ -81,11 +91,24 @@ class Tree:
         self.hash.append(xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) if text else 0)
         self.out.append(out)
         self.part.append(part)
+        self.links.append(links)
         if parent >= 0:
             self.children[parent].append(k)
         return k
 
 
+def _marked(value: str, inside: bool) -> bool:
+    """Whether a class or id names something that is not content."""
+    for name in value.split():
+        parts = [w.lower() for w in PART.findall(name)]
+        if not REMARKS.isdisjoint(parts):
+            continue
+        own_header = inside or not OF_ARTICLES.isdisjoint(parts)
+        if any((w in MARKS or w.startswith(MARK_STEMS)) and not (w == "header" and own_header) for w in parts):
+            return True
+    return False
+
+
 def _ruled_out(tag: str, attributes: str, inside: bool) -> tuple[bool, bool, str]:
     """(not content, marks the main part, label) of an element; ``inside`` an article or main part."""
     label, out, main = tag, tag in DROPPED or (tag == "header" and not inside), tag in ("article", "main")
@@ -96,7 +119,7 @@ def _ruled_out(tag: str, attributes: str, inside: bool) -> tuple[bool, bool, str
                 if name == "class":
                     label = f"{tag}.{value.strip().lower()}"
                 if tag not in ("html", "body", "main"):
-                    out = out or any(w.lower() in MARKS for w in PART.findall(value))
+                    out = out or _marked(value, inside)
             elif name == "role":
                 out = out or value.lower() in ROLES
                 main = main or value.lower() == "main"
@@ -115,14 +138,18 @@ def parse(page: str) -> Tree:
     root = tree.add(-1, "#root", "", False, -1)
     stack = [(root, "#root", False, -1)]
     pieces: list[str] = []
+    linked: list[str] = []
+    in_link = False
 
     def flush():
         if pieces:
             text = " ".join(entities.unescape("".join(pieces)).split())
+            share = sum(len(x.strip()) for x in linked) / max(1, sum(len(x.strip()) for x in pieces)) if linked else 0.0
             pieces.clear()
+            linked.clear()
             if text:
                 node, _, out, part = stack[-1]
-                tree.add(node, "#text", text, out, part)
+                tree.add(node, "#text", text, out, part, share > 0.6)
 
     def close(tags: set, within: set) -> None:
         for k in range(len(stack) - 1, 0, -1):
@@ -141,10 +168,14 @@ def parse(page: str) -> Tree:
             break
         if m.start() > at:
             pieces.append(page[at : m.start()])
+            if in_link:
+                linked.append(pieces[-1])
         at = m.end()
         tag = (m[2] or "").lower()
         if not tag:
             continue
+        if tag == "a" or tag in BLOCKS:
+            in_link = tag == "a" and not m[1]
         if m[1]:
             if tag in BLOCKS and any(x[1] == tag for x in stack):
                 flush()
@@ -192,14 +223,17 @@ def parse(page: str) -> Tree:
 
 
 def content(tree: Tree) -> list[int]:
-    """Text leaves that the rules leave: of the longest article if there is one, else of the main part, else of the page."""
+    """Text leaves that the rules leave: of the longest article if there is one, else of the main part, else of the page.
+
+    Outside of an article or main part, leaves that are mostly links are menus.
+    """
     leaves = [k for k, t in enumerate(tree.label) if t == "#text" and not tree.out[k]]
     sizes: dict[int, int] = {}
     for k in leaves:
         if tree.part[k] >= 0:
             sizes[tree.part[k]] = sizes.get(tree.part[k], 0) + len(tree.text[k])
     if not sizes:
-        return leaves
+        return [k for k in leaves if not tree.links[k]]
     best = min(sizes, key=lambda p: (tree.rank.get(p, 1), -sizes[p], p))
     return [k for k in leaves if tree.part[k] == best]
 

@@ -234,6 +234,13 @@ def test_rules_of_extraction():
     assert got == ["Title & more", "First bold text here line.", "Second link one.", "item one", "item two", "Share this"]
     plain = wrapper.parse("<body><nav>menu</nav><div>one<p>two</div>three<div hidden><p>no</div><table><tr><td>c1<td>c2</table>")
     assert [plain.text[k] for k in wrapper.content(plain)] == ["one", "two", "three", "c1", "c2"]
+    bare = wrapper.parse(
+        "<body><div id=hd><a href=/>Home</a> <a href=/n>News</a></div><div class='wrap has-sidebar no-ads'><div class=article-header><h1>T</h1></div>"
+        "<p>See <a href=x>this</a> long enough text.</p><div class=cookiebar>ok?</div></div><ol class=commentList><li>hi</ol></body>"
+    )
+    assert [bare.text[k] for k in wrapper.content(bare)] == ["T", "See this long enough text."]
+    inner = wrapper.parse("<article><div class=article-header><h1>T</h1></div><p><a href=x>Only a link</a></p><div id=comments><p>c</p></div></article>")
+    assert [inner.text[k] for k in wrapper.content(inner)] == ["T", "Only a link"]
     for odd in ("", "<", "<p", "a < b & c", "</div></p>text", "<p class='x>y", "<!-- open", "<script>never closed", "<div>" * 500 + "deep"):
         wrapper.content(wrapper.parse(odd))
 
