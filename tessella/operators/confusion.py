@@ -30,31 +30,30 @@ def accumulate(counts: DataFrame) -> DataFrame:
     return counts.groupBy("gt", "pred").agg(F.sum("cnt").alias("cnt"))
 
 
-def class_scores(counts: DataFrame, n: int) -> DataFrame:
-    """(cls, acc, iou) of each of the n classes; a class that never occurs scores 0."""
+def _class_sums(counts: DataFrame, n: int) -> DataFrame:
+    """(cls, diag, rows, cols, acc, iou) of each of the n classes."""
+    none = F.lit(None).cast("long")
     hit = F.when(F.col("gt") == F.col("pred"), F.col("cnt"))
-    sides = counts.select(
-        F.explode(
-            F.array(
-                F.struct(F.col("gt").alias("cls"), hit.alias("diag"), F.col("cnt").alias("rows"), F.lit(None).cast("long").alias("cols")),
-                F.struct(F.col("pred").alias("cls"), F.lit(None).cast("long").alias("diag"), F.lit(None).cast("long").alias("rows"), F.col("cnt").alias("cols")),
-            )
-        ).alias("x")
-    ).select("x.*")
+    as_truth = F.struct(F.col("gt").alias("cls"), hit.alias("diag"), F.col("cnt").alias("rows"), none.alias("cols"))
+    as_prediction = F.struct(F.col("pred").alias("cls"), none.alias("diag"), none.alias("rows"), F.col("cnt").alias("cols"))
+    sides = counts.select(F.explode(F.array(as_truth, as_prediction)).alias("x")).select("x.*")
     sums = sides.groupBy("cls").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("diag", "rows", "cols")])
     classes = counts.sparkSession.range(n).select(F.col("id").cast("int").alias("cls"))
     full = classes.join(sums, "cls", "left").fillna(0, ["diag", "rows", "cols"])
     union = F.col("rows") + F.col("cols") - F.col("diag")
-    return full.select("cls", (F.col("diag") / (F.col("rows") + EPSILON)).alias("acc"), (F.col("diag") / (union + EPSILON)).alias("iou"))
+    return full.select("*", (F.col("diag") / (F.col("rows") + EPSILON)).alias("acc"), (F.col("diag") / (union + EPSILON)).alias("iou"))
+
+
+def class_scores(counts: DataFrame, n: int) -> DataFrame:
+    """(cls, acc, iou) of each of the n classes; a class that never occurs scores 0."""
+    return _class_sums(counts, n).select("cls", "acc", "iou")
 
 
 def scores(counts: DataFrame, n: int) -> DataFrame:
     """One row (pixel_acc, mean_class_acc, mean_class_iou)."""
-    total = counts.agg(
-        (F.coalesce(F.sum(F.when(F.col("gt") == F.col("pred"), F.col("cnt"))), F.lit(0)) / (F.coalesce(F.sum("cnt"), F.lit(0)) + EPSILON)).alias("pixel_acc")
+    return _class_sums(counts, n).agg(
+        (F.sum("diag") / (F.sum("rows") + EPSILON)).alias("pixel_acc"), F.avg("acc").alias("mean_class_acc"), F.avg("iou").alias("mean_class_iou")
     )
-    means = class_scores(counts, n).agg(F.avg("acc").alias("mean_class_acc"), F.avg("iou").alias("mean_class_iou"))
-    return total.join(means)  # one row each
 
 
 def report_lines(counts: DataFrame, classes: list[str]) -> DataFrame:

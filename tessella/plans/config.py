@@ -11,10 +11,11 @@ from typing import Any
 
 INF = float("inf")
 
-#: Option tables (fixed values): name: default. A default of None marks a required option.
+#: Option tables (fixed values): name: default. A default of None marks a required option. Models have plain names here:
+#: unpaired and paired stand for the two translation models.
 COMMON: dict[str, Any] = {
     "dataroot": None, "name": "experiment_name", "checkpoints_dir": "./checkpoints",
-    "model": "cycle_gan", "input_nc": 3, "output_nc": 3, "ngf": 64, "ndf": 64,
+    "model": "unpaired", "input_nc": 3, "output_nc": 3, "ngf": 64, "ndf": 64,
     "netD": "basic", "netG": "resnet_9blocks", "n_layers_D": 3, "norm": "instance",
     "init_type": "normal", "init_gain": 0.02, "no_dropout": False,
     "dataset_mode": "unaligned", "direction": "AtoB", "serial_batches": False, "num_threads": 4,
@@ -33,8 +34,8 @@ TRAIN: dict[str, Any] = {
 TEST: dict[str, Any] = {"results_dir": "./results/", "aspect_ratio": 1.0, "phase": "test", "eval": False, "num_test": 50}
 #: What models and dataset modes add or change: always, and in training only.
 MODELS: dict[str, tuple[dict[str, Any], dict[str, Any]]] = {
-    "cycle_gan": ({"no_dropout": True}, {"lambda_A": 10.0, "lambda_B": 10.0, "lambda_identity": 0.5}),
-    "pix2pix": ({"norm": "batch", "netG": "unet_256", "dataset_mode": "aligned"}, {"pool_size": 0, "gan_mode": "vanilla", "lambda_L1": 100.0}),
+    "unpaired": ({"no_dropout": True}, {"lambda_A": 10.0, "lambda_B": 10.0, "lambda_identity": 0.5}),
+    "paired": ({"norm": "batch", "netG": "unet_256", "dataset_mode": "aligned"}, {"pool_size": 0, "gan_mode": "vanilla", "lambda_L1": 100.0}),
     "colorization": (
         {"norm": "batch", "netG": "unet_256", "dataset_mode": "colorization"},
         {"pool_size": 0, "gan_mode": "vanilla", "lambda_L1": 100.0},

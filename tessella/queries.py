@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions import pixels
 from .functions import scalars as S
 from .functions.schedules import learning_rates
 from .operators import confusion, epochs, losses, pairing
@@ -57,8 +58,8 @@ LABEL_CELLS = "SELECT quality * 2 + toxic AS cell, count(*) AS cnt FROM labels W
 
 
 def _label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pixels = table(spark, sf_dir, "labels").select(F.lit(0).alias("frame"), F.col("quality").alias("gt"), F.col("toxic").alias("pred"))
-    return confusion.frame_confusion(pixels, 2)
+    cells = table(spark, sf_dir, "labels").select(F.lit(0).alias("frame"), F.col("quality").alias("gt"), F.col("toxic").alias("pred"))
+    return confusion.frame_confusion(cells, 2)
 
 
 @query(f"SELECT 0 AS frame, (cell // 2)::INT AS gt, (cell % 2)::INT AS pred, cnt FROM ({LABEL_CELLS})")
@@ -188,14 +189,16 @@ def j3_positional_zip(spark, sf_dir):
 @query(
     """
 WITH a AS (SELECT r_name AS split, n_name || '_A.png' AS name FROM nation JOIN region ON n_regionkey = r_regionkey),
-b AS (SELECT r_name AS split, n_name || '_B.png' AS b_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 3 <> 0)
+b AS (SELECT r_name AS split, n_name || '_B.png' AS b_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey IN (SELECT s_nationkey FROM supplier WHERE s_acctbal < 0))
 SELECT split, name AS a_name, b_name, replace(name, '_A.', '.') AS pair_name
 FROM a JOIN b USING (split) WHERE replace(name, '_A.', '_B.') = b_name"""
 )
 def j4_name_equi_pair(spark, sf_dir):
+    """Side B has files only for nations with a supplier in debt, so some names have no partner."""
     rows = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     a = rows.select(F.col("r_name").alias("split"), F.concat("n_name", F.lit("_A.png")).alias("name"))
-    b = rows.filter("n_nationkey % 3 <> 0").select(F.col("r_name").alias("split"), F.concat("n_name", F.lit("_B.png")).alias("name"))
+    low = table(spark, sf_dir, "supplier").filter("s_acctbal < 0").select(F.col("s_nationkey").alias("n_nationkey"))
+    b = rows.join(low, "n_nationkey", "left_semi").select(F.col("r_name").alias("split"), F.concat("n_name", F.lit("_B.png")).alias("name"))
     return pairing.name_pairs(a, b)
 
 
@@ -294,9 +297,9 @@ def w9_report_order(spark, sf_dir):
 
 @query("SELECT (SELECT count(*) FROM documents) AS n_a, (SELECT count(*) FROM benchmark) AS n_b, greatest((SELECT count(*) FROM documents), (SELECT count(*) FROM benchmark)) AS length, least((SELECT count(*) FROM documents), 100) AS capped")
 def a17_lengths(spark, sf_dir):
-    n_a = table(spark, sf_dir, "documents").agg(F.count("*").alias("n_a"))
-    n_b = table(spark, sf_dir, "benchmark").agg(F.count("*").alias("n_b"))
-    return n_a.join(n_b).select("n_a", "n_b", F.greatest("n_a", "n_b").alias("length"), F.least("n_a", F.lit(100)).cast("long").alias("capped"))
+    side = lambda name, a: table(spark, sf_dir, name).select(F.lit(a).alias("a"))
+    counts = side("documents", 1).unionByName(side("benchmark", 0)).agg(F.sum("a").alias("n_a"), F.sum(1 - F.col("a")).alias("n_b"))
+    return counts.select("n_a", "n_b", F.greatest("n_a", "n_b").alias("length"), F.least("n_a", F.lit(100)).cast("long").alias("capped"))
 
 
 @query(
@@ -350,8 +353,8 @@ def p10_flip(spark, sf_dir):
 
 @query(elements_sql("SELECT vec_id, list_transform(embedding, lambda f: ((floor((f::DOUBLE + 1) * 127.5)::INT::FLOAT / 255::FLOAT)::FLOAT - 0.5::FLOAT) / 0.5::FLOAT) AS tensor FROM embeddings", "vec_id", "tensor", "v", "DOUBLE", 64))
 def p11_normalise(spark, sf_dir):
-    pixels = F.transform("embedding", lambda f: F.floor((f.cast("double") + 1) * 127.5).cast("int"))
-    return elements(table(spark, sf_dir, "embeddings").select("vec_id", S.normalised(pixels).alias("tensor")), "vec_id", "tensor", "v", "double")
+    scaled = F.transform("embedding", lambda f: F.floor((f.cast("double") + 1) * 127.5).cast("int"))
+    return elements(table(spark, sf_dir, "embeddings").select("vec_id", S.normalised(scaled).alias("tensor")), "vec_id", "tensor", "v", "double")
 
 
 @query(elements_sql("SELECT vec_id, list_transform(embedding, lambda f: trunc((f::DOUBLE + 1) / 2 * 255)::INT) AS pixels FROM embeddings", "vec_id", "pixels", "v", "INT", 64))
@@ -414,6 +417,81 @@ def f15_transpose(spark, sf_dir):
     return elements(table(spark, sf_dir, "embeddings").select("vec_id", S.transposed(F.col("embedding"), 2).alias("chw")), "vec_id", "chw", "v", "double")
 
 
+RGB = """(SELECT vec_id, y, x, v AS r, (v * 3 + x) % 256 AS g, (v * 7 + y * 11) % 256 AS b FROM
+  (SELECT vec_id, (p // 8)::INT AS y, (p % 8)::INT AS x, floor((embedding[p + 1]::DOUBLE + 1) * 127.5)::INT AS v FROM embeddings, range(64) t(p)))"""
+
+
+def _images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings as 8 x 8 RGB image rows."""
+    grid = _grid(spark, sf_dir)
+    pixel = F.array(F.col("v"), (F.col("v") * 3 + F.col("x")) % 256, (F.col("v") * 7 + F.col("y") * 11) % 256)
+    ordered = F.array_sort(F.collect_list(F.struct("y", "x", pixel.alias("rgb"))))
+    flat = F.flatten(F.transform(ordered, lambda p: p["rgb"]))
+    text = F.array_join(F.transform(flat, lambda c: F.lpad(F.hex(c), 2, "0")), "")
+    sizes = [F.lit(n).alias(c) for c, n in (("width", 8), ("height", 8), ("n_channels", 3))]
+    return grid.groupBy("vec_id").agg(F.unhex(text).alias("pixels")).select("vec_id", *sizes, "pixels")
+
+
+def _channels(images: DataFrame) -> DataFrame:
+    """(vec_id, y, x, c, v) of image rows."""
+    digits = F.regexp_extract_all(F.hex("pixels"), F.lit("(..)"), F.lit(1))
+    rows = images.select("vec_id", "width", "n_channels", F.posexplode(digits).alias("k", "digit"))
+    at = F.floor(F.col("k") / F.col("n_channels"))
+    return rows.select(
+        "vec_id", F.floor(at / F.col("width")).cast("int").alias("y"), (at % F.col("width")).cast("int").alias("x"),
+        (F.col("k") % F.col("n_channels")).cast("int").alias("c"), F.conv("digit", 16, 10).cast("int").alias("v"),
+    )
+
+
+@query(f"SELECT vec_id, y, x, 0 AS c, ((r * 19595 + g * 38470 + b * 7471 + 32768) >> 16)::INT AS v FROM {RGB}")
+def p4_luma(spark, sf_dir):
+    return _channels(pixels.over_images(_images(spark, sf_dir), lambda image, _: pixels.luma(image)))
+
+
+@query(
+    f"""
+SELECT e.vec_id, y::INT AS y, x::INT AS x, c::INT AS c, coalesce(CASE c WHEN 0 THEN r WHEN 1 THEN g ELSE b END, 0)::INT AS v
+FROM (SELECT DISTINCT vec_id FROM embeddings) e, range(6) t(y), range(6) u(x), range(3) w(c)
+LEFT JOIN (SELECT vec_id AS id, y - 1 AS py, x - 4 AS px, r, g, b FROM {RGB}) i ON i.id = e.vec_id AND py = y AND px = x"""
+)
+def p8_padded_crop(spark, sf_dir):
+    """A 6 x 6 square from (4, 1): columns beyond the image are zero."""
+    return _channels(pixels.over_images(_images(spark, sf_dir), lambda image, _: pixels.cut(image, 4, 1, 6)))
+
+
+LAB_SQL = f"""
+WITH s AS (SELECT vec_id, y, x, r / 255 AS r, g / 255 AS g, b / 255 AS b FROM {RGB}),
+l AS (SELECT vec_id, y, x, CASE WHEN r > 0.04045 THEN pow((r + 0.055) / 1.055, 2.4) ELSE r / 12.92 END AS r,
+             CASE WHEN g > 0.04045 THEN pow((g + 0.055) / 1.055, 2.4) ELSE g / 12.92 END AS g,
+             CASE WHEN b > 0.04045 THEN pow((b + 0.055) / 1.055, 2.4) ELSE b / 12.92 END AS b FROM s),
+t AS (SELECT vec_id, y, x, (0.412453 * r + 0.357580 * g + 0.180423 * b) / 0.95047 AS tx, 0.212671 * r + 0.715160 * g + 0.072169 * b AS ty,
+             (0.019334 * r + 0.119193 * g + 0.950227 * b) / 1.08883 AS tz FROM l),
+f AS (SELECT vec_id, y, x, CASE WHEN tx > 0.008856 THEN cbrt(tx) ELSE 7.787 * tx + 16 / 116 END AS fx,
+             CASE WHEN ty > 0.008856 THEN cbrt(ty) ELSE 7.787 * ty + 16 / 116 END AS fy,
+             CASE WHEN tz > 0.008856 THEN cbrt(tz) ELSE 7.787 * tz + 16 / 116 END AS fz FROM t)
+SELECT vec_id, y, x, round((116 * fy - 16) / 50 - 1, 6) + 0 AS light, round(500 * (fx - fy) / 110, 6) + 0 AS a, round(200 * (fy - fz) / 110, 6) + 0 AS b FROM f
+"""
+
+
+@query(LAB_SQL)
+def p14_lab(spark, sf_dir):
+    """Lightness and colour of every pixel, scaled as the colour mode's tensors are."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            for vec_id, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                v = pixels.lab(np.frombuffer(data, np.uint8).reshape(8, 8, 3)).reshape(-1, 3)
+                y, x = np.divmod(np.arange(64, dtype=np.int32), 8)
+                columns = [np.full(64, vec_id), y.astype(np.int32), x.astype(np.int32), v[:, 0] / 50 - 1, v[:, 1] / 110, v[:, 2] / 110]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["vec_id", "y", "x", "light", "a", "b"])
+
+    found = _images(spark, sf_dir).select("vec_id", "pixels").mapInArrow(run, "vec_id long, y int, x int, light double, a double, b double")
+    return found.select("vec_id", "y", "x", *[(F.round(c, 6) + 0).alias(c) for c in ("light", "a", "b")])
+
+
 # Losses -----------------------------------------------------------------------------------------------------------------
 
 ELEMENTS = "(SELECT embedding[p + 1]::DOUBLE AS a, embedding[64 - p]::DOUBLE AS b FROM embeddings, range(64) t(p))"

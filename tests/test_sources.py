@@ -100,7 +100,7 @@ def test_log_sink(spark, tmp_path):
 def test_aligned_samples(spark, tmp_path):
     wide = picture(3, 4, 8)
     write(tmp_path / "train/1.png", sinks.png(wide))
-    config = resolve({"dataroot": str(tmp_path), "model": "pix2pix", "preprocess": "none", "no_flip": True, "direction": "BtoA"})
+    config = resolve({"dataroot": str(tmp_path), "model": "paired", "preprocess": "none", "no_flip": True, "direction": "BtoA"})
     row = registry.dataset("aligned")(spark, config).first()
     assert bytes(row.b.pixels) == wide[:, :4].tobytes() and bytes(row.a.pixels) == wide[:, 4:].tobytes()
 
@@ -118,9 +118,9 @@ def test_other_modes(spark, tmp_path):
 
 
 def test_layers():
-    config = resolve({"dataroot": "d", "model": "pix2pix"})
+    config = resolve({"dataroot": "d", "model": "paired"})
     assert (config.norm, config.netG, config.dataset_mode, config.pool_size, config.gan_mode, config.lambda_L1) == ("batch", "unet_256", "aligned", 0, "vanilla", 100.0)
-    assert resolve({"dataroot": "d", "model": "pix2pix", "norm": "none"}).norm == "none"
+    assert resolve({"dataroot": "d", "model": "paired", "norm": "none"}).norm == "none"
     assert resolve({"dataroot": "d", "model": "colorization"}).input_nc == 1
     assert resolve({"dataroot": "d", "model": "template", "dataset_mode": "template"}).max_dataset_size == 10
     test = resolve({"dataroot": "d"}, is_train=False)
@@ -130,7 +130,7 @@ def test_layers():
         with pytest.raises(ValueError):
             resolve(wrong)
     with pytest.raises(ValueError, match="load_size"):
-        resolve({"dataroot": "d", "model": "pix2pix", "load_size": 100})
+        resolve({"dataroot": "d", "model": "paired", "load_size": 100})
 
 
 def test_arguments_and_names():
