@@ -77,6 +77,10 @@ class Scratch:
             self.paths.append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def keep_last(self) -> None:
+        """From now on, the table written last stays until the process ends."""
+        atexit.register(_at_exit, self.spark, self.paths.pop())
+
     def clear(self) -> None:
         for path in self.paths:
             _delete(self.spark, path)

@@ -28,14 +28,16 @@ def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         turned = large.join(low, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = turned.unionByName(low.select("a", F.col("m").alias("b"))).distinct()
-        before, was = edges, mark
+        was = mark
         edges, mark = _written(scratch, small)
         if mark == was:
-            return before.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            scratch.keep_last()
+            scratch.clear()
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
 def _written(scratch: Scratch, pairs: DataFrame):
-    table = scratch.table(pairs, keep=True)
+    table = scratch.table(pairs)
     mark = table.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_003), F.sum(F.xxhash64("b", "a") % 998_244_353)).first()
     return table, tuple(mark)

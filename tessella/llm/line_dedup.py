@@ -256,7 +256,8 @@ def near_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     texts = docs.select(doc_key().alias("key"), text_bytes().alias("t")).join(by_doc, "key").select("place", "key", "t", "found")
     schema = "h long, place long, key long, no long, first boolean, last boolean, line binary"
     asked = scratch.table(texts.mapInArrow(_asked_lines, schema))
-    rows = asked.dropDuplicates(["h"]).mapInArrow(_variant_rows, "v long, p long, h long, place long, key long, no long, g long")
+    # Sorted, so that a task that runs again after a loss pre-aggregates the same rows together.
+    rows = asked.dropDuplicates(["h"]).sortWithinPartitions("h").mapInArrow(_variant_rows, "v long, p long, h long, place long, key long, no long, g long")
     met = rows.repartition("v").sortWithinPartitions("v").mapInArrow(_earlier_lines, "h long, g long")
     proposed = met.groupBy("h").agg(F.min("g").alias("g"))
     line = asked.groupBy("h").agg(F.first("line").alias("line"))
