@@ -46,7 +46,7 @@ def unaligned(spark: SparkSession, config: Config) -> DataFrame:
     listed = [phase_images(spark, config.dataroot, config.phase, d, _cap(config)).select("idx", "path") for d in "AB"]
     pairs = (cyclic_pairs if config.serial_batches else random_pairs)(*listed)
     for salt, d in enumerate("ab"):
-        images = read_images(spark, f"{config.dataroot}/{config.phase}{d.upper()}").withColumn("path", F.regexp_replace("path", "^file:/+", "file:/"))
+        images = read_images(spark, f"{config.dataroot}/{config.phase}{d.upper()}")
         side = pairs.select("idx", F.col(f"{d}_path").alias("path")).join(images, "path")
         done = transformed(_drawn(side, config, salt=1000 + salt), config, shared=False)
         pairs = pairs.join(done.select("idx", F.struct("width", "height", "n_channels", "pixels").alias(d)), "idx")

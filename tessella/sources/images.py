@@ -58,12 +58,13 @@ def read_images(spark: SparkSession, root: str, recursive: bool = True) -> DataF
     common = spark.read.format("image").option("recursiveFileLookup", look).option("pathGlobFilter", "*.{jpg,JPG,jpeg,JPEG,png,PNG,bmp,BMP,tif,TIF,tiff,TIFF}").load(root)
     parts = common.select("image.origin", "image.width", "image.height", "image.nChannels", "image.data")
     ppm = spark.read.format("binaryFile").option("recursiveFileLookup", look).option("pathGlobFilter", "*.{ppm,PPM}").load(root).select("path", "content")
-    return parts.mapInArrow(_from_source, ROW).unionByName(ppm.mapInArrow(_from_ppm, ROW))
+    both = parts.mapInArrow(_from_source, ROW).unionByName(ppm.mapInArrow(_from_ppm, ROW))
+    return both.withColumn("path", F.regexp_replace("path", "^file:/+", "file:/"))  # as listings spell it
 
 
 def decoded(listing: DataFrame, images: DataFrame) -> DataFrame:
     """A (possibly cut and paired) listing with its images; what is not listed is not carried on."""
-    return listing.join(images.withColumn("path", F.regexp_replace("path", "^file:/+", "file:/")), "path")
+    return listing.join(images, "path")
 
 
 def labels(images: DataFrame, mapping: dict[int, int] | None = None) -> DataFrame:

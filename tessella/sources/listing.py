@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,12 +34,12 @@ def list_images(spark: SparkSession, root: str, max_size: int | None = None) ->
     return dense_index(truncated(found, "path", max_size), "path").select("idx", "path")
 
 
-def image_folder(spark: SparkSession, root: str) -> DataFrame:
-    """As ``list_images``, but an empty folder raises."""
+def image_folder(spark: SparkSession, root: str, loader: Callable[[SparkSession, str], DataFrame] | None = None) -> DataFrame:
+    """As ``list_images``, but an empty folder raises; a loader (such as ``read_images``) adds what it reads by path."""
     found = list_images(spark, root)
     if found.isEmpty():
         raise RuntimeError(f"Found 0 images in: {root}; supported extensions are {', '.join(IMAGE_EXTENSIONS)}")
-    return found
+    return found if loader is None else found.join(loader(spark, root), "path")
 
 
 def phase_images(spark: SparkSession, root: str, phase: str, domain: str = "AB", max_size: int | None = None) -> DataFrame:
