@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, hmm_lm, line_dedup, mixing, quality_bt, quality_rules, secrets, simhash, suffix_dedup, wrapper
+from . import decontam, hmm_lm, line_dedup, mixing, quality_bt, quality_rules, secrets, simhash, sql, suffix_dedup, wrapper
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,7 +15,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_report(table(spark, sf_dir, "documents"))
+    found = line_dedup.dedup_report(table(spark, sf_dir, "documents"))
+    return found.withColumn("dropped", F.array_join(found["dropped"].cast("array<string>"), ","))
 
 
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,4 +66,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_mix_sources": mixing.ORACLE_SQL}
+    return {"op1_line_dedup": sql.LINE_DEDUP, "op6_suffix_dedup": sql.SUFFIX_DEDUP, "op10_mix_sources": mixing.ORACLE_SQL}

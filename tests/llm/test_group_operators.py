@@ -18,7 +18,7 @@ import corpus_pipeline
 from tessella.llm import components, decontam, hmm_lm, mixing, simhash, suffix_dedup, wrapper
 from tessella.llm.common import words
 from tessella.llm.grouping_sa import suffix_array
-from tessella.llm.queries import queries
+from tessella.llm.queries import oracle_sql, queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -373,12 +373,15 @@ def test_targets_equal_rounds(spark, seed):
     assert got == pytest.approx(filled(sizes, weights))
 
 
-def test_mix_equals_sql(spark):
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
+def test_query_equals_sql(spark, name):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
-    want = sorted(con.sql(mixing.ORACLE_SQL).df()[["doc_id", "size", "source_size", "target", "taken"]].itertuples(index=False, name=None))
-    got = sorted(tuple(r) for r in mixing.mix_sources(spark.read.parquet(f"{SF}/documents.parquet")).collect())
-    assert got == want
+    got = queries()[name](spark, SF).toPandas()
+    want = con.sql(oracle_sql()[name]).df()
+    assert set(got.columns) == set(want.columns)
+    rows = lambda df: sorted(map(tuple, df[sorted(got.columns)].astype(str).values.tolist()))
+    assert rows(got) == rows(want)
 
 
 def test_mix_totals_and_edges(spark, edges, no_rows):
