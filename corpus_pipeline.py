@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tessella.llm import decontam, line_dedup, mixing, quality_bt, simhash
 from tessella.llm.common import Scratch
+from tessella.workers import importable
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,11 +46,11 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 STAGES = [
-    ("quality_classifier", quality_classifier),
-    ("line_dedup", line_dedup_stage),
-    ("simhash_near_dedup", near_dedup),
-    ("benchmark_decontamination", decontamination),
-    ("source_mixing", source_mixing),
+    ("quality_classifier", importable(quality_classifier)),
+    ("line_dedup", importable(line_dedup_stage)),
+    ("simhash_near_dedup", importable(near_dedup)),
+    ("benchmark_decontamination", importable(decontamination)),
+    ("source_mixing", importable(source_mixing)),
 ]
 
 #: SQL expresses neither the classifier nor the fingerprints; tests hold the stages against brute force.
