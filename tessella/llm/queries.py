@@ -53,7 +53,7 @@ def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.find_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
-    return found.drop("text")
+    return found.select("doc_id", "contaminated", "n_items", F.array_join(F.col("item_ids").cast("array<string>"), ",").alias("item_ids"))
 
 
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,4 +66,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": sql.LINE_DEDUP, "op6_suffix_dedup": sql.SUFFIX_DEDUP, "op10_mix_sources": mixing.ORACLE_SQL}
+    return {
+        "op1_line_dedup": sql.LINE_DEDUP,
+        "op6_suffix_dedup": sql.SUFFIX_DEDUP,
+        "op9_decontaminate": sql.DECONTAMINATION,
+        "op10_mix_sources": mixing.ORACLE_SQL,
+    }

@@ -376,7 +376,8 @@ def test_targets_equal_rounds(spark, seed):
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     got = queries()[name](spark, SF).toPandas()
     want = con.sql(oracle_sql()[name]).df()
     assert set(got.columns) == set(want.columns)
