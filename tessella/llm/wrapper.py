@@ -204,7 +204,7 @@ def parse(page: str) -> Tree:
                         at = done.end()
             continue
         if tag in CLOSES_P:
-            close({"p"}, {"td", "th", "li", "table", "article", "section", "div", "body", "blockquote"} - {tag} if tag in ("p",) else {"td", "th", "table", "article", "body"})
+            close({"p"}, {"td", "th", "table", "article", "body"})
         if tag in SIBLINGS:
             close(*SIBLINGS[tag])
         flush()
