@@ -30,8 +30,8 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, by fingerprints of five-word shingles."""
-    return simhash.one_of_each(docs, shingle=5)
+    """One document of each group of near duplicates: Jaccard similarity of five-word shingles from 0.8 on, or 3 bits of 64."""
+    return simhash.one_of_each(docs, shingle=5, similarity=0.8)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

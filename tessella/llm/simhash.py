@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, text_bytes, words
 from .components import connected_components
+from .jaccard import similar_links
 
 U64 = np.uint64
 #: Seed of the shingle hashes (a fixed value of the data contract).
@@ -139,12 +140,18 @@ def close_pairs(prints: DataFrame, distance: int = 3, blocks: int = 5, bucket_ro
     return find(usual).unionByName(find(large))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, blocks: int = 5) -> DataFrame:
-    """(doc_id, key, fp, component_id): the smallest doc_id among all documents that links reach from this one."""
+def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, blocks: int = 5, similarity: float | None = None) -> DataFrame:
+    """(doc_id, key, fp, component_id): the smallest doc_id among all documents that links reach from this one.
+
+    With a ``similarity``, texts whose sets of shingles have that Jaccard similarity are linked too, at any distance.
+    """
     scratch = Scratch(docs.sparkSession)
     rows = scratch.table(fingerprints(docs, shingle), keep=True)
     prints = scratch.table(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), keep=True)
-    roots = connected_components(close_pairs(prints.select("fp"), distance, blocks))
+    links = close_pairs(prints.select("fp"), distance, blocks)
+    if similarity is not None:
+        links = similar_links(docs, rows.select("key", "fp"), links, shingle, similarity)
+    roots = connected_components(links)
     rooted = prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = rooted.join(ids, "root").select("fp", "component_id")

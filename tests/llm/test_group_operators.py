@@ -15,7 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import corpus_pipeline
-from tessella.llm import components, decontam, hmm_lm, mixing, simhash, suffix_dedup, wrapper
+from tessella.llm import components, decontam, hmm_lm, jaccard, mixing, simhash, suffix_dedup, wrapper
 from tessella.llm.common import words
 from tessella.llm.grouping_sa import suffix_array
 from tessella.llm.queries import oracle_sql, queries
@@ -103,6 +103,37 @@ def test_near_duplicates_and_edges(spark, edges, no_rows):
     assert simhash.near_duplicates(no_rows).count() == 0 and simhash.one_of_each(no_rows).count() == 0
 
 
+def shingles(text, k=5):
+    w = [x.decode() for x in words(text.encode())]
+    return {tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} if w else set()
+
+
+@pytest.mark.parametrize("common", [4, 1])
+def test_near_dedup_loses_no_similar_pair(spark, monkeypatch, common):
+    """The pipeline's stage against all pairs: Jaccard similarity 0.8 or more, also where fingerprints are far apart."""
+    monkeypatch.setattr(jaccard, "COMMON", common)
+    rng = random.Random(8)
+    prose = lambda n: [f"w{rng.randrange(500)}" for _ in range(n)]
+    passage, texts = prose(40), ["", "one two", "One  two"]
+    for n in (6, 30, 90, 200, 400):
+        for _ in range(5):
+            base = prose(n) + passage * (n < 100)
+            for changes in (0, 1, n // 60, n // 45, n // 30):
+                w = list(base)
+                for p in rng.sample(range(len(w)), changes):
+                    w[p] = "new"
+                texts.append(" ".join(w[rng.randrange(1 + n // 20) :]))
+    sets, prints = [shingles(t) for t in texts], [plain_fingerprint(t, 5) for t in texts]
+    near = [(a, b) for a, b in itertools.combinations(range(len(texts)), 2) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) > 0]
+    assert sum((prints[a] ^ prints[b]).bit_count() > 3 for a, b in near) > 20
+    root = plain_components(prints, 3)
+    for a, b in near:
+        x, y = sorted((root[a], root[b]))
+        root = [x if r == y else r for r in root]
+    least = {r: min(k for k, x in enumerate(root) if x == r) for r in root}
+    assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs_of(spark, texts), SF).collect()} == set(least.values())
+
+
 # Suffix arrays -----------------------------------------------------------------------------------------------------------
 
 
