@@ -3,9 +3,11 @@
 Every page becomes a tree of its block elements with text leaves (inline markup belongs to the text around it). One page of
 each host, the one with the smallest content hash, is the host's pivot; every other page of the host is aligned with it by
 simple tree matching: a top-down alignment of equal labels in which the children of two matched nodes are matched in order
-so that the number of matched nodes below is largest, equal texts counting double. Over all pages of a host, a text leaf
-of the pivot that nearly always carries the same text is template; leaves whose text varies, and leaves without a partner,
-are slots and carry content. Pages with equal remaining text count once, so mirrored articles don't become template.
+so that the number of matched nodes below is largest, equal texts counting double. A text leaf of the pivot that carries
+the same text on nearly all pages of the host is template; leaves whose text varies, leaves that many pages lack, and leaves
+without a partner are slots and carry content. Pages with equal remaining text count once, so mirrored articles don't become
+template. Leaves inside a marked article or main part are never template, nor evidence of one: versions of one article
+would agree on them.
 
 What varies from page to page without being content (menus, adverts, comments, ...) is told by element and attribute
 names, and menus by being links; if a page marks its article or main part, only that part is content.
@@ -356,7 +358,7 @@ def aligned_blocks(pages: DataFrame) -> DataFrame:
             for page, pivot in zip(col("html"), col("pivot"), strict=True):
                 tree = parse(page)
                 keep = content(tree)
-                if pivot is None:
+                if pivot is None or any(tree.part[k] >= 0 for k in keep):
                     at = [-1] * len(keep)
                 else:
                     if pivot not in cache:
@@ -388,7 +390,8 @@ def main_text(pages: DataFrame, min_pages: int = 5, share: float = 0.8, broadcas
     once = blocks.groupBy("host", F.xxhash64("texts").alias("k")).agg(F.min(F.struct("nodes", "same")).alias("x"))
     leaves = once.select("host", F.explode(F.arrays_zip("x.nodes", "x.same")).alias("y")).filter("y.nodes >= 0")
     seen = leaves.groupBy("host", F.col("y.nodes").alias("node")).agg(F.count("*").alias("n"), F.sum(F.col("y.same").cast("int")).alias("s"))
-    template = seen.filter((F.col("n") >= min_pages) & (F.col("s") >= share * F.col("n")))
+    aligned = once.filter(F.exists("x.nodes", lambda k: k >= 0)).groupBy("host").agg(F.count("*").alias("pages"))
+    template = seen.join(aligned, "host").filter((F.col("n") >= min_pages) & (F.col("s") >= share * F.col("pages")))
     by_host = template.groupBy("host").agg(F.collect_set("node").alias("template"))  # at most the leaves of a pivot
     both = blocks.join(small(by_host), "host", "left").withColumn("template", F.coalesce("template", F.array().cast("array<int>")))
     rest = F.filter(F.arrays_zip("texts", "nodes"), lambda b: ~F.array_contains(F.col("template"), b["nodes"]))

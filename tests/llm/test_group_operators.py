@@ -321,6 +321,17 @@ def test_templates_are_induced_by_host(spark, broadcast_bytes):
     assert wrapper.main_text(df.limit(0)).count() == 0
 
 
+def test_versions_of_an_article_are_no_template(spark):
+    """Near copies inside a marked article stay whole; without a mark, paragraphs that shorter pages never reach stay."""
+    body = "<p>Shared one.</p><p>Shared two.</p>"
+    rows = [(k, "http://a.example/", f"<body><article><p>Version {k}.</p>{body}</article></body>") for k in range(10)]
+    rows += [(20 + k, "http://b.example/", f"<body><p>Version {k}.</p>{body}</body>") for k in range(10)]
+    rows += [(40 + k, "http://b.example/", f"<body><p>Short {k}.</p></body>") for k in range(20)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in wrapper.main_text(df).collect()}
+    assert all(got[k] == got[20 + k] == f"Version {k}.\nShared one.\nShared two." for k in range(10))
+
+
 # Decontamination ----------------------------------------------------------------------------------------------------------
 
 
