@@ -10,12 +10,15 @@ them once, and a grouped sum over tasks gives the next model. Scoring is the sca
 text, so the likelihood is exact. Documents advance together, sorted by length: step t is one small matrix product over
 all documents that still have a token t.
 
-The vocabulary may be large: only its most frequent part (at most ``head`` types) is broadcast; occurrences of the other
-types are joined to their counts by hash. Intermediate tables go to the shared folder.
+The vocabulary may be large: only its most frequent part (the types from the least count on that at most ``head`` types
+reach) is broadcast; occurrences of the other types, none of which is more than one in ``head`` of all tokens, are joined to
+their counts by hash. Counts and vocabulary grow with the corpus; the chain's tables have a fixed size. Intermediate tables
+go to the shared folder.
 
 Defined results: null and empty texts are the end token alone; repeated rows count as often as they occur and score the
 same; a null doc_id counts as the empty text in the hold-out rule; with no training documents every base score is 0; an
-empty table gives an empty one. For training only, a text beyond ``piece`` tokens is learned in pieces of that length.
+empty table gives an empty one. Very long texts are learned and scored whole: the backward recursion recomputes the forward
+one segment by segment from kept entry points, so memory holds a segment of steps, not a text's.
 """
 
 from __future__ import annotations
@@ -201,43 +204,69 @@ def log_likelihoods(sequences: list[np.ndarray], model: Model) -> np.ndarray:
     return out
 
 
-def expected_counts(sequences: list[np.ndarray], model: Model, counts: np.ndarray) -> None:
-    """Adds Baum-Welch counts of the sequences to ``counts`` (start, move, emit, flat)."""
-    k, symbols = len(model.start), len(model.emit)
-    packed = Packed(sequences)
-    emit = model.emit[packed.symbols]
+def _segments(packed: Packed) -> list[tuple[int, int]]:
+    """Runs of steps of at most BLOCK_TOKENS tokens (or a single step)."""
+    cuts = [0]
+    while cuts[-1] < packed.steps:
+        fits = int(np.searchsorted(packed.offset, packed.offset[cuts[-1]] + BLOCK_TOKENS, "right")) - 1
+        cuts.append(max(cuts[-1] + 1, fits))
+    return list(zip(cuts[:-1], cuts[1:], strict=True))
+
+
+def _forward(packed: Packed, model: Model, entry: np.ndarray | None, first: int, stop: int):
+    """Emissions, scaled forward variables and scales of some steps; ``entry`` are the variables of the step before."""
+    base = packed.offset[first]
+    emit = model.emit[packed.symbols[base : packed.offset[stop]]]
     alpha, scale = np.empty_like(emit), np.empty(len(emit))
-    a = None
-    for t in range(packed.steps):
-        at = packed.rows(t)
+    a = entry
+    for t in range(first, stop):
+        at = slice(packed.offset[t] - base, packed.offset[t + 1] - base)
         a = emit[at] * model.start if a is None else (a[: packed.active[t]] @ model.move) * emit[at]
         c = a.sum(1)
         a /= c[:, None]
         alpha[at], scale[at] = a, c
+    return emit, alpha, scale
+
+
+def expected_counts(sequences: list[np.ndarray], model: Model, counts: np.ndarray) -> None:
+    """Adds Baum-Welch counts of the sequences to ``counts`` (start, move, emit, flat)."""
+    k, symbols = len(model.start), len(model.emit)
+    packed = Packed(sequences)
+    segments = _segments(packed)
+    entries: list[np.ndarray | None] = [None]
+    for first, stop in segments[:-1]:
+        alpha = _forward(packed, model, entries[-1], first, stop)[1]
+        entries.append(alpha[packed.offset[stop - 1] - packed.offset[first] :].copy())
     moves, back = np.zeros((k, k)), model.move.T.copy()
-    emit /= scale[:, None]
+    table = counts[k + k * k :].reshape(symbols, k)
     beta = np.ones((packed.active[-1], k))
-    for t in range(packed.steps - 1, 0, -1):
-        at, n = packed.rows(t), packed.active[t]
-        weighed = emit[at] * beta
-        before = alpha[packed.offset[t - 1] : packed.offset[t - 1] + n]
-        moves += before.T @ weighed
-        alpha[at] *= beta
-        beta = np.ones((packed.active[t - 1], k))
-        beta[:n] = weighed @ back
-    alpha[packed.rows(0)] *= beta
-    counts[:k] += alpha[packed.rows(0)].sum(0)
+    for (first, stop), entry in zip(reversed(segments), reversed(entries), strict=True):
+        emit, alpha, scale = _forward(packed, model, entry, first, stop)
+        emit /= scale[:, None]
+        base = packed.offset[first]
+        for t in range(stop - 1, first - 1, -1):
+            at, n = slice(packed.offset[t] - base, packed.offset[t + 1] - base), packed.active[t]
+            weighed = emit[at] * beta
+            if t:
+                before = alpha[packed.offset[t - 1] - base :] if t > first else entry
+                moves += before[:n].T @ weighed
+            alpha[at] *= beta
+            if t:
+                beta = np.ones((packed.active[t - 1], k))
+                beta[:n] = weighed @ back
+        own = packed.symbols[base : packed.offset[stop]]
+        for j in range(k):
+            table[:, j] += np.bincount(own, alpha[:, j], symbols)
+        if not first:
+            counts[:k] += alpha[: packed.active[0]].sum(0)
     counts[k : k + k * k] += (moves * model.move).ravel()
-    table = counts[k + k * k :].reshape(symbols, k)
-    for j in range(k):
-        table[:, j] += np.bincount(packed.symbols, alpha[:, j], symbols)
 
 
 def _sequences(column) -> list[np.ndarray]:
     return [np.frombuffer(x, "<u2") for x in column.to_pylist()]
 
 
-def baum_welch(tokens: DataFrame, symbols: np.ndarray, states: int, rounds: int, piece: int) -> Model:
+def baum_welch(tokens: DataFrame, symbols: np.ndarray, states: int, rounds: int) -> Model:
     """Trains on all rows of ``tokens`` (ids); what a task sends is bounded by the model's size."""
     spark, model = tokens.sparkSession, Model.random(states, symbols)
     size = states + states * states + len(symbols) * states
@@ -247,8 +276,7 @@ def baum_welch(tokens: DataFrame, symbols: np.ndarray, states: int, rounds: int,
         def run(batches, shared=shared):
             now, counts = shared.value, np.zeros(size)
             for b in batches:
-                own = [s[i : i + piece] for s in _sequences(b.column(0)) for i in range(0, len(s), piece)]
-                own.sort(key=len, reverse=True)
+                own = sorted(_sequences(b.column(0)), key=len, reverse=True)
                 for x, y in _blocks([len(s) for s in own], BLOCK_TOKENS):
                     expected_counts(own[x:y], now, counts)
             k = np.flatnonzero(counts)
@@ -262,7 +290,26 @@ def baum_welch(tokens: DataFrame, symbols: np.ndarray, states: int, rounds: int,
     return model
 
 
-def score_documents(docs: DataFrame, states: int = 8, buckets: int = 8192, rounds: int = 4, head: int = 200_000, piece: int = 300_000) -> DataFrame:
+def least_count(counts: DataFrame, head: int) -> int:
+    """The least count that at most ``head`` types of (h, c) reach, by histograms of 1,024 bins, each within one bin of the last."""
+    most = counts.agg(F.max("c")).first()[0] or 0
+    shift, low, above = max(0, (most.bit_length() - 1) // 10 * 10), 0, 0
+    while True:
+        within = counts.filter((F.col("c") >= low) & (F.col("c") < low + (1 << shift + 10)))
+        bins = within.groupBy(F.shiftright(F.col("c") - low, shift).alias("bin")).count().collect()
+        for r in sorted(bins, reverse=True):
+            if above + r["count"] > head:
+                low += r["bin"] << shift
+                break
+            above += r["count"]
+        else:
+            return low
+        if not shift:
+            return low + 1
+        shift -= 10
+
+
+def score_documents(docs: DataFrame, states: int = 8, buckets: int = 8192, rounds: int = 4, head: int = 200_000) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every document; logs to base 10."""
     spark = docs.sparkSession
     scratch = Scratch(spark)
@@ -276,22 +323,21 @@ def score_documents(docs: DataFrame, states: int = 8, buckets: int = 8192, round
     mass[by_bucket.b.to_numpy(int)] += by_bucket.c.to_numpy(float) + ADD * by_bucket.v.to_numpy(float)
     symbols = np.append(mass, n_docs + ADD)
     symbols /= symbols.sum()
-    log_mass = np.append(np.log10(mass), 0.0)
+    # Logs are of shares of this total, so that sums over long texts don't grow large before they cancel.
+    total = float(n + ADD * (v + 1))
+    log_mass = np.append(np.log10(mass / total), 0.0)
 
-    # The least count from which on at most ``head`` types are left.
-    steps = counts.groupBy(F.least("c", F.lit(1_000_000)).alias("c")).count().toPandas().sort_values("c", ascending=False)
-    fits = steps.c[steps["count"].cumsum() <= head]
-    least = int(fits.min()) if len(fits) else 1_000_001
-    top = counts.filter(F.col("c") >= least).toPandas() if len(fits) else counts.limit(0).toPandas()
+    least = least_count(counts, head)
+    top = counts.filter(F.col("c") >= least).toPandas()
     h = top.h.to_numpy(np.int64).view(U64)
     order = np.argsort(h)
-    frequent = Head(h[order], np.log10(top.c.to_numpy(float)[order] + ADD))
+    frequent = Head(h[order], np.log10((top.c.to_numpy(float)[order] + ADD) / total))
 
     rows = scratch.table(tokenise(docs, frequent, buckets), keep=True)
     tail = rows.select("uid", F.explode(F.arrays_zip("th", "tn")).alias("x")).select("uid", F.col("x.th").alias("h"), F.col("x.tn").alias("n"))
     joined = tail.join(counts.filter(F.col("c") < least), "h")
-    found = joined.groupBy("uid").agg(F.sum("n").alias("tail_known"), F.sum(F.col("n") * F.log10(F.col("c") + ADD)).alias("tail_log"))
-    model = baum_welch(rows.filter("NOT held_out"), symbols, states, rounds, piece)
+    found = joined.groupBy("uid").agg(F.sum("n").alias("tail_known"), F.sum(F.col("n") * F.log10((F.col("c") + ADD) / total)).alias("tail_log"))
+    model = baum_welch(rows.filter("NOT held_out"), symbols, states, rounds)
     shared = spark.sparkContext.broadcast((model, log_mass))
 
     def forward(batches):
@@ -308,17 +354,16 @@ def score_documents(docs: DataFrame, states: int = 8, buckets: int = 8192, round
 
     kept = rows.select("uid", "doc_id", "held_out", "n_tokens", "head_log", "head_known", "ids")
     chained = kept.mapInArrow(forward, kept.drop("ids").withColumn("chain", F.lit(0.0)).schema)
-    end_log, end_known = float(np.log10(n_docs + ADD)), int(n_docs > 0)
+    end_log, end_known = float(np.log10((n_docs + ADD) / total)), int(n_docs > 0)
     known = F.col("head_known") + F.coalesce("tail_known", F.lit(0))
     unseen = F.col("n_tokens") - 1 - known
-    word_log = F.col("head_log") + F.coalesce("tail_log", F.lit(0.0)) + unseen * float(np.log10(ADD))
-    per_token = float(np.log10(n + ADD * (v + 1)))
+    word_log = F.col("head_log") + F.coalesce("tail_log", F.lit(0.0)) + unseen * float(np.log10(ADD / total))
     return chained.join(found, "uid", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
         (known + end_known).cast("long").alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
-        (word_log + end_log - F.col("n_tokens") * per_token).alias("base_score"),
+        (word_log + end_log).alias("base_score"),
         (word_log + F.col("chain")).alias("score"),
     )
