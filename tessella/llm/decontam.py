@@ -7,12 +7,16 @@ at others, so the masks lose no window. A mask's hash is a sum of its groups' su
 get at once. Document windows that share a mask hash with an item window are verified word by word at the same offset,
 then extended in both directions while the similarity holds.
 
-The benchmark's windows are broadcast in slices of at most ``slice_words`` words, one pass per slice, so what is
-broadcast stays bounded however large the benchmark is; documents are neither shuffled nor joined.
+The benchmark's hashes are joined in slices of about ``slice_words`` words, each broadcast as a sorted index. One slice does
+for usual benchmarks, and documents are neither shuffled nor joined then. A larger benchmark takes one pass for each slice:
+its hits (row key, item, words) are written to the shared folder and its index is given up before the next one is built,
+so driver and workers hold one index at a time; in the end the hits are joined to the documents. An item beyond a slice
+is indexed in overlapping pieces, which loses no window.
 
 Defined results: items with fewer than ``min_words`` words never match; items shorter than ``span`` must match whole (in
-that similarity); null and empty texts are clean; repeated rows each get their own result; an empty benchmark leaves
-every document clean. No text is cut: very long documents are one block of windows of their own.
+that similarity); null and empty texts are clean; repeated rows each get their own, equal results; an empty benchmark leaves
+every document clean; ids of items may be of any type. No text is cut: very long documents are one block of windows of their
+own; the overlap with an item beyond a slice is measured within a piece of it.
 """
 
 from __future__ import annotations
@@ -23,8 +27,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import LOWER, slices, text_bytes, word_count
+from .common import LOWER, Scratch, doc_key, slices, text_bytes
 
 #: ASCII punctuation to space, A-Z to a-z.
 FOLD = bytes(32 if b < 128 and not chr(b).isalnum() else LOWER[b] for b in range(256))
@@ -69,9 +74,9 @@ def mask_hashes(ids: np.ndarray, span: int, errors: int):
 
 
 class SeedIndex:
-    """Mask hashes of a slice of the benchmark, sorted, with the item and place of each: 16 bytes for a word and mask."""
+    """Mask hashes of a slice of the benchmark, sorted, with the item and place of each: about 32 bytes for a word and mask."""
 
-    def __init__(self, items: list[tuple[int, bytes]], span: int, similarity: float, min_words: int):
+    def __init__(self, items: list[tuple], span: int, similarity: float, min_words: int):
         self.similarity, self.vocabulary, self.items, self.ids = similarity, {}, [], []
         by_span: dict[int, list[int]] = {}
         for item_id, text in items:
@@ -96,7 +101,7 @@ class SeedIndex:
             keys = np.concatenate(hashes)
             order = np.argsort(keys, kind="stable")
             keys = keys[order]
-            bits = max(10, int(64 * len(keys)).bit_length())
+            bits = max(10, int(8 * len(keys)).bit_length())
             seen = np.zeros(1 << bits, bool)
             seen[keys >> U64(64 - bits)] = True
             self.spans.append((n, errors, keys, np.concatenate(item)[order], np.concatenate(place)[order], seen, bits))
@@ -149,36 +154,88 @@ def _blocks(sizes: list[int]):
         yield at, len(sizes)
 
 
+def _pieces(span: int, most: int):
+    """From (item_id, t): (item_id, t, n) with n words; texts beyond ``most`` words in pieces that overlap by span - 1 words."""
+
+    def run(batches):
+        for b in slices(batches, 64):
+            at, texts, sizes = [], [], []
+            for k, t in enumerate(b.column(1).to_pylist()):
+                own = tokens(t)
+                whole = len(own) <= most
+                for s in [0] if whole else range(0, len(own) - span + 1, most - span + 1):
+                    part = own if whole else own[s : s + most]
+                    at.append(k)
+                    texts.append(b" ".join(part))
+                    sizes.append(len(part))
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int32())), pa.array(texts, pa.binary()), pa.array(sizes, pa.int64())], ["item_id", "t", "n"])
+
+    return run
+
+
+def _hits(texts: list[list[bytes]], seeds: SeedIndex):
+    """(number of the text, item, words) of the verified overlaps of texts."""
+    get = seeds.vocabulary.get
+    for a, b in _blocks([len(t) for t in texts]):
+        ends = np.cumsum([len(t) for t in texts[a:b]])
+        ids = np.array([get(w, 0) for t in texts[a:b] for w in t], U64)
+        for d, item, n in seeds.hits(ids, ends - np.diff(ends, prepend=0), ends):
+            yield a + d, item, n
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, span: int = 13, similarity: float = 0.8, min_words: int = 5, slice_words: int = 200_000) -> DataFrame:
     """``docs`` with contaminated (boolean), n_items, overlap_words (longest overlap) and item_ids of what they hold."""
-    added = "contaminated boolean, n_items long, overlap_words long, item_ids array<long>".split(", ")
-    names = [x.split()[0] for x in added]
-    spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_bytes().alias("t"), word_count().alias("n"))
+    spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
+    id_type = benchmark.schema["item_id"].dataType.simpleString()
+    plain = docs.drop("contaminated", "n_items", "overlap_words", "item_ids")
+    read = benchmark.select("item_id", text_bytes().alias("t"))
+    items = scratch.table(read.mapInArrow(_pieces(span, max(2 * span, slice_words)), f"item_id {id_type}, t binary, n long").filter(F.col("n") >= min_words))
     total = items.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     n_slices = max(1, -(-total // slice_words))
-    plain = docs.drop(*names)
-    out = plain.withColumn("_t", text_bytes()).withColumn("_hits", F.array().cast("array<struct<item:long,words:long>>"))
-    for k in range(n_slices):
+
+    def index(k: int):
         part = items.filter(F.pmod(F.xxhash64("item_id", "t"), F.lit(n_slices)) == k)
-        index = spark.sparkContext.broadcast(SeedIndex([(r[0], bytes(r[1])) for r in part.orderBy("item_id").collect()], span, similarity, min_words))
+        return spark.sparkContext.broadcast(SeedIndex([(r[0], bytes(r[1])) for r in part.orderBy("item_id", "t").collect()], span, similarity, min_words))
+
+    hit = f"struct<item:{id_type},words:long>"
+    if n_slices == 1:
+        only = index(0)
 
-        def scan(batches, index=index):
-            seeds = index.value
+        def scan(batches):
             for batch in slices(batches, 1024):
                 column = batch.schema.get_field_index("_t")
-                texts = [tokens(t) for t in batch.column(column).to_pylist()]
-                rows = [list(x or ()) for x in batch.column(batch.schema.get_field_index("_hits")).to_pylist()]
-                get = seeds.vocabulary.get
-                for a, b in _blocks([len(t) for t in texts]):
-                    ends = np.cumsum([len(t) for t in texts[a:b]])
-                    ids = np.array([get(w, 0) for t in texts[a:b] for w in t], U64)
-                    for d, item, n in seeds.hits(ids, ends - np.diff(ends, prepend=0), ends):
-                        rows[a + d].append({"item": item, "words": n})
-                hits = pa.array(rows, batch.schema.field("_hits").type)
-                yield batch.set_column(batch.schema.get_field_index("_hits"), "_hits", hits)
-
-        out = out.mapInArrow(scan, out.schema)
+                rows: list[list] = [[] for _ in range(batch.num_rows)]
+                for d, item, n in _hits([tokens(t) for t in batch.column(column).to_pylist()], only.value):
+                    rows[d].append({"item": item, "words": n})
+                at = batch.schema.get_field_index("_hits")
+                yield batch.set_column(at, "_hits", pa.array(rows, batch.schema.field("_hits").type)).drop_columns(["_t"])
+
+        out = plain.withColumn("_hits", F.array().cast(f"array<{hit}>"))
+        out = out.withColumn("_t", text_bytes()).mapInArrow(scan, out.schema)
+    else:
+        id_arrow = to_arrow_type(benchmark.schema["item_id"].dataType)
+        keyed = plain.select(doc_key().alias("_key"), text_bytes().alias("_t"))
+        parts = []
+        for k in range(n_slices):
+            shared = index(k)
+
+            def emit(batches, shared=shared):
+                for batch in slices(batches, 1024):
+                    found = list(_hits([tokens(t) for t in batch.column(1).to_pylist()], shared.value))
+                    keys = batch.column(0).take(pa.array([d for d, _, _ in found], pa.int32()))
+                    columns = [keys, pa.array([x[1] for x in found], id_arrow), pa.array([x[2] for x in found], pa.int64())]
+                    yield pa.RecordBatch.from_arrays(columns, ["_key", "item", "words"])
+
+            # One table for each slice: its index is not needed again, whatever executors are lost later.
+            parts.append(scratch.table(keyed.mapInArrow(emit, f"_key long, item {id_type}, words long").distinct(), keep=True))
+            shared.destroy()
+        hits = parts[0]
+        for part in parts[1:]:
+            hits = hits.unionByName(part)
+        by_row = hits.groupBy("_key").agg(F.collect_set(F.struct("item", "words")).alias("_hits"))  # at most the benchmark's items
+        out = plain.withColumn("_key", doc_key()).join(by_row, "_key", "left").drop("_key")
+        out = out.withColumn("_hits", F.coalesce("_hits", F.array().cast(f"array<{hit}>")))
+    scratch.clear()
     return out.select(
         *plain.columns,
         (F.size("_hits") > 0).alias("contaminated"),

@@ -56,7 +56,8 @@ SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spa
 FROM sized LEFT JOIN cut USING (r) LEFT JOIN kept USING (r)
 """
 
-#: Spans of at most 13 words with at most a fifth of them substituted, found by the masks of up to two substitutions.
+#: Spans of at most 13 words of which at most a fifth are substituted: the Hamming distance of every pair of windows that have
+#: one of errors + 1 runs of places in common (with that many errors at most, one run has none), whatever masks there are.
 DECONTAMINATION = r"""
 WITH folded AS (
   SELECT doc_id, list_transform(regexp_extract_all(coalesce(text, ''), '[0-9A-Za-z\x{80}-\x{10FFFF}]+'),
@@ -66,22 +67,18 @@ items AS (
     SELECT item_id, list_transform(regexp_extract_all(coalesce(text, ''), '[0-9A-Za-z\x{80}-\x{10FFFF}]+'),
              lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS w FROM benchmark)
   WHERE len(w) >= 5),
-masks AS (
-  SELECT * FROM (VALUES (1, 3, [0, 1]), (1, 3, [0, 2]), (1, 3, [1, 2]),
-    (2, 4, [0, 1]), (2, 4, [0, 2]), (2, 4, [0, 3]), (2, 4, [1, 2]), (2, 4, [1, 3]), (2, 4, [2, 3])) m(errors, n_groups, chosen)),
-spans AS (SELECT DISTINCT span, errors FROM items),
+runs AS (
+  SELECT span, errors, run, span * run // (errors + 1) + 1 AS a, span * (run + 1) // (errors + 1) AS b
+  FROM (SELECT DISTINCT span, errors FROM items), range(3) r(run) WHERE run <= errors),
 item_windows AS (SELECT item_id, span, errors, unnest(range(len(w) - span + 1)) AS q, w FROM items),
-item_cut AS (SELECT item_id, span, errors, w[q + 1 : q + span] AS v FROM item_windows),
 item_keys AS (
-  SELECT item_id, span, errors, chosen, v, array_to_string(list_filter(v, lambda x, i: list_contains(chosen, (i - 1) % n_groups)), ' ') AS k
-  FROM item_cut JOIN masks USING (errors)),
-doc_windows AS (SELECT doc_id, span, errors, unnest(range(len(w) - span + 1)) AS p, w FROM folded, spans WHERE len(w) >= span),
-doc_cut AS (SELECT doc_id, span, errors, w[p + 1 : p + span] AS v FROM doc_windows),
-doc_keys AS (
-  SELECT doc_id, span, chosen, v, array_to_string(list_filter(v, lambda x, i: list_contains(chosen, (i - 1) % n_groups)), ' ') AS k
-  FROM doc_cut JOIN masks USING (errors)),
+  SELECT item_id, span, errors, run, w[q + 1 : q + span] AS v, array_to_string(w[q + a : q + b], ' ') AS k
+  FROM item_windows JOIN runs USING (span, errors)),
+doc_windows AS (
+  SELECT doc_id, span, errors, run, unnest(range(len(w) - span + 1)) AS p, w, a, b FROM folded, runs WHERE len(w) >= span),
+doc_keys AS (SELECT doc_id, span, run, w[p + 1 : p + span] AS v, array_to_string(w[p + a : p + b], ' ') AS k FROM doc_windows),
 hits AS (
-  SELECT DISTINCT d.doc_id, i.item_id FROM doc_keys d JOIN item_keys i USING (span, chosen, k)
+  SELECT DISTINCT d.doc_id, i.item_id FROM doc_keys d JOIN item_keys i USING (span, run, k)
   WHERE list_sum(list_transform(range(1, i.span + 1), lambda j: (d.v[j] <> i.v[j])::INT)) <= i.errors),
 by_doc AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id) AS item_ids FROM hits GROUP BY doc_id)
 SELECT doc_id, n_items IS NOT NULL AS contaminated, coalesce(n_items, 0) AS n_items, coalesce(item_ids, '') AS item_ids
