@@ -2,25 +2,26 @@
 
 Base patterns are found first (assignments, access identifiers, long hex runs). The parts of credentials that say little
 alone come on top: account identifiers, mixed tokens that look random, and endpoints. They are *weak*: one is reported
-only if complementary parts lie in its scope, the text within ``scope`` code points of it and not across a blank line:
+only if complementary parts lie in its scope: at most ``scope`` code points lie between the two (none if they overlap), and no
+blank line:
 
 * an identifier needs a secret (base or weak),
 * a weak secret needs an identifier (or a base access identifier),
 * an endpoint needs both an identifier and a secret.
 
 Parts of a text are sorted by position, and each weak part is joined to the nearest complementary part on either side:
-an interval join by merging, linear in the parts, with no pairs enumerated. A scope lies within one text, so nothing is
-shuffled.
+an interval join by merging, with no pairs enumerated. A scope lies within one text, so nothing is shuffled.
 
 Defined results: null and empty texts have no spans; repeated rows each get theirs; positions are code points, end
-exclusive; weak parts that overlap a base span or a weak part before them are not reported.
+exclusive; weak parts that overlap a base span count for nothing; of weak parts with all complements that overlap each other
+(an identifier and a secret within an endpoint) the first, or else the longest, is reported.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left, bisect_right
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,12 +36,14 @@ IDENT = re.compile(
     r"""(?:user(?:_?name|_?id)?|login|client_?id|account(?:_?id|_?name)?|access_?key(?:_?id)?|key_?id)["']?\x20*[:=]\x20*["']?([A-Za-z0-9._@+-]{3,})""",
     re.IGNORECASE | re.ASCII,
 )
-MIXED = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
+MIXED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
 ENDPOINT = re.compile(
     r"""[A-Za-z][A-Za-z0-9+.-]{1,20}://[^\s"'<>]+|(?:host(?:name)?|endpoint|server|url)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]+\.[A-Za-z0-9.:/-]+|(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?::\d+)?(?![\d.])""",
     re.IGNORECASE | re.ASCII,
 )
 BLANK_LINE = re.compile(r"\n[\x20\t\r]*\n")
+#: What complements a weak part.
+NEEDS = {"identifier": ("secret",), "secret": ("identifier",), "endpoint": ("identifier", "secret")}
 KINDS = ("assign", "access", "hex", "identifier", "secret", "endpoint")
 #: What must stand in a text before its slower patterns are worth a search.
 ASSIGN_WORDS = ("passw", "secret", "token", "api_key", "apikey")
@@ -71,15 +74,34 @@ def weak_parts(text: str, folded: str) -> list[tuple[int, int, str]]:
     return parts
 
 
-def _near(starts: list[int], at: int, low: int, high: int) -> int | None:
-    """The nearest of sorted ``starts`` to ``at`` within [low, high]."""
-    k = bisect_left(starts, at)
-    found = [starts[i] for i in (k - 1, k) if 0 <= i < len(starts) and low <= starts[i] <= high]
-    return min(found, key=lambda s: (abs(s - at), s), default=None)
+class Role:
+    """The parts that can complement others in one way, by position."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        self.spans = sorted(spans)
+        self.starts = [s for s, _ in self.spans]
+        # Of the spans up to each, the one that ends last.
+        self.last: list[tuple[int, int]] = []
+        for s, e in self.spans:
+            self.last.append(max(self.last[-1], (e, s)) if self.last else (e, s))
+
+    def nearest(self, s: int, e: int, scope: int, blanks: list[int]) -> int | None:
+        """Start of the part nearest to [s, e) in its scope (of equally near ones the left one)."""
+        k = bisect_left(self.starts, s)
+        found = []
+        if k:
+            end, start = self.last[k - 1]
+            found.append((max(0, s - end), 0, start, end, s))
+        if k < len(self.spans):
+            found.append((max(0, self.starts[k] - e), 1, self.starts[k], e, self.starts[k]))
+        for gap, _, start, low, high in sorted(found):
+            if gap <= scope and bisect_left(blanks, low) == bisect_left(blanks, max(low, high)):
+                return start
+        return None
 
 
 def linked_spans(text: str, scope: int = 200):
-    """(all spans, links): weak parts with their complements; a link is (kind, start, kind, start)."""
+    """(all spans, links, base spans): weak parts with their complements; a link is (kind, start, kind, start)."""
     folded = text.lower()
     base = base_spans(text, folded)
     weak = weak_parts(text, folded)
@@ -87,26 +109,24 @@ def linked_spans(text: str, scope: int = 200):
         return base, [], base
     weak += [(m.start(), m.end(), "secret") for m in MIXED.finditer(text) if _random_looking(m[0])]
     taken = sorted((s, e) for s, e, _ in base)
-    free, last = [], 0
-    for s, e, kind in sorted(weak):
-        k = bisect_left(taken, (e,))
-        if s >= last and not (k and taken[k - 1][1] > s):
-            free.append((s, e, kind))
-            last = e
+    ends = [0]  # of the taken spans up to each, the last end
+    for _, e in taken:
+        ends.append(max(ends[-1], e))
+    starts = [s for s, _ in taken]
+    weak = [(s, e, kind) for s, e, kind in sorted(weak) if ends[bisect_left(starts, e)] <= s]
     blanks = [m.start() for m in BLANK_LINE.finditer(text)]
-    # The starts of each complementary role, in order.
-    idents = sorted([s for s, _, k in free if k == "identifier"] + [s for s, _, k in base if k == "access"])
-    secrets = sorted([s for s, _, k in free if k == "secret"] + [s for s, _, k in base if k in ("assign", "hex")])
-    kept, links = [], []
-    for s, e, kind in free:
-        above = bisect_right(blanks, s)
-        low = max(s - scope, blanks[above - 1] if above else 0)
-        high = min(e + scope, blanks[above] if above < len(blanks) else len(text))
-        needs = [("secret", secrets)] if kind == "identifier" else [("identifier", idents)] if kind == "secret" else [("identifier", idents), ("secret", secrets)]
-        found = [(role, _near(starts, s, low, high)) for role, starts in needs]
+    roles = {
+        "identifier": Role([(s, e) for s, e, k in weak if k == "identifier"] + [(s, e) for s, e, k in base if k == "access"]),
+        "secret": Role([(s, e) for s, e, k in weak if k == "secret"] + [(s, e) for s, e, k in base if k in ("assign", "hex")]),
+    }
+    kept, links, last = [], [], 0
+    for s, e, kind in sorted(weak, key=lambda x: (x[0], -x[1])):
+        needs = NEEDS[kind]
+        found = [(role, roles[role].nearest(s, e, scope, blanks)) for role in needs] if s >= last else [(None, None)]
         if all(at is not None for _, at in found):
             kept.append((s, e, kind))
             links += [(kind, s, role, at) for role, at in found]
+            last = e
     return base + kept, links, base
 
 
