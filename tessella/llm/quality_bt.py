@@ -6,11 +6,13 @@ the difference of their features (Newton's method, L2 penalty). Pair scores have
 of the training scores: the quantile level at which cutting agrees best with the training labels. The published score is
 the logistic function of the distance to the cut, moved so that the cut lies at ``cut_score``.
 
-The classifier is fitted on at most ``max_labelled`` labelled rows, those with the smallest seeded hash, and
-``max_pairs`` pairs; both are parameters. Scoring reads every text whole, one pass, without a shuffle.
+The classifier is fitted on at most ``max_labelled`` labelled documents, those with the smallest seeded hash, and on all of
+their pairs, or on a seeded sample of ``max_pairs`` of them if there are more; both are parameters. Scoring reads every text
+whole, one pass, without a shuffle.
 
 Defined results: null and empty texts get the score of an empty text; repeated rows get equal scores; labels that are
-null, or of documents not in the table, are ignored; a null doc_id counts as the empty text in the hold-out rule; with
+null, or of documents not in the table, are ignored; a doc_id with several labels counts once with each different one, and
+one with several texts with that of the smallest features; a null doc_id counts as the empty text in the hold-out rule; with
 no labels of one of the classes every text scores ``cut_score`` and is predicted 1; an empty table gives an empty one.
 """
 
@@ -93,8 +95,11 @@ def fit_ranking(x: np.ndarray, y: np.ndarray, max_pairs: int = 100_000, penalty:
     z = np.clip((x - model.mean) / model.scale, -6, 6)
     rng = np.random.default_rng(seed)
     good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
-    n = min(max_pairs, len(good) * len(bad))
-    diff = z[rng.choice(good, n)] - z[rng.choice(bad, n)]
+    if len(good) * len(bad) <= max_pairs:
+        diff = (z[good][:, None] - z[bad][None, :]).reshape(-1, d)
+    else:
+        diff = z[rng.choice(good, max_pairs)] - z[rng.choice(bad, max_pairs)]
+    n = len(diff)
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(diff @ model.weights, -30, 30)))
         slope = diff.T @ (1 - p) / n - penalty * model.weights
@@ -120,7 +125,7 @@ def held_out() -> Column:
 def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, **options) -> Ranking:
     """Fits on labelled rows whose crc32(doc_id) mod 5 is not 0."""
     usable = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).filter("quality IN (0, 1) AND doc_id IS NOT NULL")
-    sample = usable.filter(~held_out()).orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id", "quality").limit(max_labelled)
+    sample = usable.distinct().filter(~held_out()).orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id", "quality").limit(max_labelled)
     rows = docs.select("doc_id", text_bytes().alias("t")).join(F.broadcast(sample), "doc_id").select("t", "quality", "doc_id")
 
     def run(batches):
@@ -128,8 +133,9 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, **opti
             x = [features(t) for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(2), b.column(1), pa.array(x, pa.list_(pa.float64()))], ["doc_id", "quality", "x"])
 
-    found = rows.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, quality int, x array<double>").toPandas()
-    found = found.sort_values(["doc_id", "quality"], kind="stable").head(2 * max_labelled)
+    measured = rows.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, quality int, x array<double>")
+    # One row for each sampled label, however often a document is repeated: at most ``max_labelled`` rows.
+    found = measured.groupBy("doc_id", "quality").agg(F.min("x").alias("x")).toPandas().sort_values(["doc_id", "quality"], kind="stable")
     x = np.array(found.x.tolist(), float)
     return fit_ranking(x, found.quality.to_numpy(), **options)
 
