@@ -1,14 +1,17 @@
 """Quality rules combined by weak supervision, in DataFrame operations only.
 
-Each rule votes good (1), bad (-1) or abstains (0) on a text. Expectation-maximisation over the votes of all documents
-estimates, without labels, how often each rule's votes are right; a document is kept if its posterior probability of
-being good reaches a threshold. An abstention says nothing, and the two classes weigh the same a priori, so a rule that
-speaks alone keeps its starting accuracy, one that others bear out gains weight, and one that they contradict loses it.
-A document's votes are one of at most 3 ** rules patterns, so EM runs over the counts of patterns, a table whose size
-does not grow with the data; every EM round is one SQL aggregation over that table.
-
-Defined results: null, empty and blank texts have no words and fail the base rules; repeated rows get their own, equal
-results; an empty table gives an empty one.
+Each rule votes good (1), bad (-1) or abstains (0) on a text, and rules may disagree. Expectation-maximisation over the votes
+of all documents estimates, without labels, the share of good documents and, for each rule, how often it votes good and bad
+on good and on bad documents; a document is kept if its posterior probability of being good reaches a threshold. An
+abstention says nothing. So a bad vote of a rule that good documents hardly ever get weighs more than several good votes that
+bad documents get too, and one that good documents often get weighs little.
+
+A document's votes are one of at most 3 ** rules patterns (729), so EM runs over the counts of patterns, a table whose size
+does not grow with the data; all its rounds are one SQL expression over an array of them, one Spark job.
+
+Defined results: null, empty and blank texts have no words and fail the base rules; a text on which every rule abstains has
+the estimated share of good documents as its probability; repeated rows get their own, equal results; an empty table gives an
+empty one.
 """
 
 from __future__ import annotations
@@ -23,8 +26,9 @@ from .common import SPACES, WORD, Scratch
 #: The characters counted as symbols (a fixed value of the data contract).
 SYMBOLS = "[^#*$%&|<>]+"
 WINDOW = 5
-#: How often a rule's votes are right, before the first EM round.
-START = 0.9
+#: How often a rule votes bad, abstains and votes good on good and on bad documents, and the share of good ones, before the
+#: first EM round; the former also count as PSEUDO documents of each class.
+ON_GOOD, ON_BAD, GOOD, PSEUDO = (0.02, 0.08, 0.9), (0.5, 0.1, 0.4), 0.8, 2.0
 
 
 def _window_repeats() -> Column:
@@ -87,57 +91,75 @@ def base_failed() -> Column:
 
 
 def rules() -> dict[str, Column]:
-    """Votes: 1 good, -1 bad, 0 abstain. Rules that look for one defect only ever vote bad."""
+    """Votes: 1 good, -1 bad, 0 abstain."""
     n = F.greatest(F.col("n_words"), F.lit(1)).cast("double")
     mean = F.col("word_chars") / n
-    symbols, repeats, marks = F.col("n_symbols") / n, F.col("n_repeat_words") / n, F.col("n_marks") / n
+    symbols, repeats, marks, stutters = F.col("n_symbols") / n, F.col("n_repeat_words") / n, F.col("n_marks") / n, F.col("n_stutters") / n
     upper = F.col("n_upper") / F.greatest(F.col("word_chars"), F.lit(1))
     # Distinct words grow about as the root of all words, so their share alone would speak against long texts.
     distinct, dups = F.col("n_distinct") / F.sqrt(n), F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1))
-    bad = {
-        "short": F.col("n_words") < 10,
-        "word_length": (mean < 2.2) | (mean > 14),
-        "symbols": symbols > 0.25,
-        "repeats": repeats > 0.2,
-        "capitals": (upper > 0.5) & (F.col("n_words") >= 10),
-        "marks": marks > 0.4,
-        "few_words": (F.col("n_words") >= 30) & (distinct < 1),
-        "stutters": (F.col("n_words") >= 10) & (F.col("n_stutters") / n > 0.2),
-        "lines": (F.col("n_lines") >= 4) & (dups > 0.3),
+    good_and_bad = {
+        "symbols": (symbols <= 0.02, symbols > 0.1),
+        "words": (mean.between(4.2, 6), (mean < 3) | (mean > 6.5)),
+        "prose": ((n >= 30) & (symbols <= 0.02) & (upper <= 0.1) & (marks <= 0.05) & (repeats <= 0.05), (symbols > 0.1) | (upper > 0.3) | (marks > 0.2)),
+        "variety": ((distinct >= 4) & (stutters <= 0.03), ((distinct < 2) & (n >= 20)) | (stutters > 0.05)),
+        "repetition": ((repeats <= 0.02) & (dups <= 0.05), (repeats > 0.1) | (dups > 0.2)),
+        "case": ((upper > 0) & (upper <= 0.06) & (marks <= 0.02), (upper > 0.2) | (marks > 0.2)),
     }
-    prose = (F.col("n_words") >= 30) & (mean >= 3) & (mean <= 10) & (symbols <= 0.02) & (upper <= 0.1) & (repeats <= 0.05)
-    varied = (F.col("n_words") >= 50) & (distinct >= 3) & (dups <= 0.1) & (marks <= 0.05) & (symbols <= 0.05)
-    votes = {r: F.when(c, -1).otherwise(0) for r, c in bad.items()}
-    return votes | {"prose": F.when(prose, 1).otherwise(0), "varied": F.when(varied, 1).otherwise(0)}
+    return {r: F.when(bad, -1).when(good, 1).otherwise(0) for r, (good, bad) in good_and_bad.items()}
 
 
-def log_odds(names: list[str], accuracy: dict[str, float]) -> Column:
-    """Log odds of good: each vote weighs the log odds of its rule being right."""
-    total = F.lit(0.0)
-    for r in names:
-        total = total + F.col(r) * math.log(accuracy[r] / (1 - accuracy[r]))
-    return total
+def _let(value: Column, body) -> Column:
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def em_round(state: Column, patterns: Column, n_rules: int) -> Column:
+    """The next state of EM: for each rule its six vote probabilities (bad, none, good; on good, on bad), then the share of
+    good documents."""
+    last = 6 * n_rules
+    at = lambda k: F.get(state, k)
+
+    def posterior(p: Column) -> Column:
+        odds = lambda a, r, v: a + F.when(v == 0, 0.0).otherwise(F.log(at(r * 6 + v + 1)) - F.log(at(r * 6 + v + 4)))
+        prior = F.log(at(F.lit(last)) / (1 - at(F.lit(last))))
+        return 1 / (1 + F.exp(-F.aggregate(F.sequence(F.lit(0), F.lit(n_rules - 1)), prior, lambda a, r: odds(a, r, F.get(p["v"], r)))))
+
+    def share(k: Column, p: Column, q: Column) -> Column:
+        """What a pattern adds to the k-th sum: its documents that are good, or bad, if the k-th vote is theirs."""
+        rule, vote = F.floor(k / 6).cast("int"), k % 3 - 1
+        documents = p["n"] * F.when(k % 6 < 3, q).otherwise(1 - q)
+        return F.when(k == last, p["n"] * q).when(F.get(p["v"], rule) == vote, documents).otherwise(0.0)
+
+    zero = F.array_repeat(F.lit(0.0), last + 1)
+    sums = F.aggregate(patterns, zero, lambda a, p: _let(posterior(p), lambda q: F.transform(a, lambda x, k: x + share(k, p, q))))
+    n = F.aggregate(patterns, F.lit(0.0), lambda a, p: a + p["n"])
+    start = F.array(*[F.lit(x) for x in (*ON_GOOD, *ON_BAD)])
 
+    def estimate(s: Column) -> Column:
+        good = F.get(s, F.lit(last))
+        documents = lambda k: F.when(k % 6 < 3, good).otherwise(n - good)
+        smoothed = lambda x, k: (x + PSEUDO * F.get(start, k % 6)) / (documents(k) + PSEUDO)
+        return F.transform(s, lambda x, k: F.when(k == last, (x + 0.5) / (n + 1)).otherwise(smoothed(x, k)))
 
-def fit(votes: DataFrame, names: list[str], rounds: int = 20, smooth: float = 2.0) -> dict[str, float]:
-    """EM over vote patterns: the accuracy of each rule. ``smooth`` votes of accuracy START are added to each rule's."""
-    patterns = votes.groupBy(*names).agg(F.count("*").alias("n")).collect()  # at most 3 ** rules rows
-    accuracy = dict.fromkeys(names, START)
-    if not patterns:
-        return accuracy
-    values = ", ".join(f"({', '.join(str(int(p[r])) for r in names)}, {int(p['n'])}D)" for p in patterns)
-    table = votes.sparkSession.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(f'`{r}`' for r in names)}, n)")
-    for _ in range(rounds):
-        posterior = table.withColumn("q", 1 / (1 + F.exp(-log_odds(names, accuracy))))
-        estimates = []
-        for r in names:
-            right = F.sum(F.when(F.col(r) == 1, F.col("q")).when(F.col(r) == -1, 1 - F.col("q")).otherwise(0.0) * F.col("n"))
-            cast = F.sum(F.when(F.col(r) != 0, F.col("n")).otherwise(0.0))
-            estimates.append(F.least(F.lit(0.999), (right + START * smooth) / (cast + smooth)).alias(r))
-        before, accuracy = accuracy, posterior.agg(*estimates).first().asDict()
-        if max(abs(before[r] - accuracy[r]) for r in names) < 1e-6:
-            break
-    return accuracy
+    return _let(sums, estimate)
+
+
+def fit(votes: DataFrame, names: list[str], rounds: int = 30) -> list[float]:
+    """EM over vote patterns: its last state, see ``em_round``."""
+    counted = votes.groupBy(*names).agg(F.count("*").cast("double").alias("n"))
+    pattern = F.struct(F.array(*[F.col(r).cast("int") for r in names]).alias("v"), "n")
+    start = F.array(*[F.lit(x) for _ in names for x in (*ON_GOOD, *ON_BAD)], F.lit(GOOD))
+    one = counted.agg(F.array_sort(F.collect_list(pattern)).alias("patterns"))  # at most 3 ** rules
+    return one.select(F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, lambda s, _: em_round(s, F.col("patterns"), len(names)))).first()[0]
+
+
+def log_odds(names: list[str], state: list[float]) -> Column:
+    """Log odds of good: those of all documents, and what each vote adds to them."""
+    total = F.lit(math.log(state[-1] / (1 - state[-1])))
+    for k, r in enumerate(names):
+        bad, _, good, bad_on_bad, _, good_on_bad = state[6 * k : 6 * k + 6]
+        total = total + F.when(F.col(r) == 1, math.log(good / good_on_bad)).when(F.col(r) == -1, math.log(bad / bad_on_bad)).otherwise(0.0)
+    return total
 
 
 def weak_quality(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -147,6 +169,5 @@ def weak_quality(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     counted = measures(docs)
     voted = scratch.table(counted.select("*", *[c.alias(f"vote_{r}") for r, c in named.items()]), keep=True)
     names = [f"vote_{r}" for r in named]
-    accuracy = fit(voted, names)
-    scored = voted.withColumn("quality", 1 / (1 + F.exp(-log_odds(names, accuracy)))).withColumn("base_failed", base_failed())
+    scored = voted.withColumn("quality", 1 / (1 + F.exp(-log_odds(names, fit(voted, names))))).withColumn("base_failed", base_failed())
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= threshold))
