@@ -16,6 +16,9 @@ SPACES = r"[\x20\x09-\x0D]+"
 #: ASCII-only lower casing of UTF-8 bytes; bytes.split() splits at exactly the white space that WORD excludes.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
+#: Keys of a join that are broadcast at most.
+BROADCAST_KEYS = 1_000_000
+
 
 def words(text: bytes) -> list[bytes]:
     """Lower-cased (A-Z only) words of a UTF-8 text."""
@@ -43,6 +46,11 @@ def word_count(name: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(name), F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def few(keys: DataFrame) -> DataFrame:
+    """A written table of keys (and a number for each), to be broadcast if it is small; otherwise the join is a shuffle."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share; only where none is configured (tests), a temporary one is set."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")

@@ -1,12 +1,15 @@
-"""Links of texts whose sets of word shingles have a Jaccard similarity of at least ``similarity``, without loss.
+"""Links of texts whose sets of word shingles have a Jaccard similarity of at least ``similarity``.
 
 Of two such sets, each of n shingles in one common order, the first n - ceil(similarity * n) + 1 of each share a shingle. So
-these prefixes are emitted as tokens, and texts that share one are candidates, verified on their texts. The order puts
-shingles that are common in a sample of the texts last: the sample decides what the search costs, not what it finds.
+these prefixes are emitted as tokens, and texts that share one are candidates. The order puts shingles that are common in a
+sample of the texts last: the sample decides what the search costs, not what it finds. A candidate pair must fit in size and
+its sets' 64-bit SimHashes must differ in at most FAR bits (sets of similarity 0.8 differ in 10 on average, with a
+deviation of 3); what is left is verified on the texts.
 
 Groups of near copies are not paired up. First every text is compared with one leader of each of its tokens, and
 components are built; then only texts of different components that share a token are compared. What is left out
-is linked already, so the components are those of all pairs.
+is linked already, so the components are those of all pairs. Leaders are minima, aggregated with partial sums; a token that
+more than ``bucket_rows`` texts share is dealt into chunks, every pair of which is compared in a task of its own.
 
 Defined results: texts without words have no shingle and no link; texts with fewer words than a shingle are one shingle;
 repeats of a shingle count once; an empty table gives no links. Shingles and texts are told apart by 64-bit hashes.
@@ -22,15 +25,38 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, slices, text_bytes, words
+from .common import Scratch, few, slices, text_bytes, words
 from .components import connected_components
-from .line_dedup import _runs
 
 U64 = np.uint64
 MULTIPLIER = 0x9E3779B97F4A7C15
 ROWS_AT_ONCE = 100_000
-#: Texts of the sample, texts of it that make a shingle common, and common shingles at most.
-SAMPLE, COMMON, MOST = 20_000, 4, 200_000
+#: One text of SHARE is in the sample; texts of it that make a shingle common; common shingles at most.
+SHARE, COMMON, MOST = 8, 3, 200_000
+#: Bits in which SimHashes of similar sets may differ: four deviations above the mean.
+FAR = 22
+
+
+def _runs(batches, width: int):
+    """Columns of rows that come sorted by the first, cut into blocks at its changes; the first as a group number."""
+    held, total = [], 0
+
+    def block(columns):
+        new = np.concatenate([[True], columns[0][1:] != columns[0][:-1]])
+        return np.cumsum(new), columns
+
+    for b in slices(batches, ROWS_AT_ONCE):
+        held.append([b.column(k).to_numpy(zero_copy_only=False) for k in range(width)])
+        total += b.num_rows
+        if total >= ROWS_AT_ONCE:
+            columns = [np.concatenate(x) for x in zip(*held, strict=True)]
+            change = np.flatnonzero(columns[0][1:] != columns[0][:-1])
+            cut = int(change[-1]) + 1 if len(change) else 0
+            if cut:
+                yield block([c[:cut] for c in columns])
+            held, total = [[c[cut:] for c in columns]], total - cut
+    if total:
+        yield block([np.concatenate(x) for x in zip(*held, strict=True)])
 
 
 def shingle_set(text: bytes, shingle: int) -> np.ndarray:
@@ -60,7 +86,15 @@ def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
     return both >= similarity * (len(a) + len(b) - both) - 1e-9
 
 
-def common_shingles(texts: DataFrame, n_texts: int, shingle: int) -> np.ndarray:
+def sketch(own: np.ndarray) -> int:
+    """SimHash of a set of shingles."""
+    if not len(own):
+        return 0
+    bits = np.unpackbits(own.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * bits > len(own), bitorder="little").view(np.int64)[0])
+
+
+def common_shingles(texts: DataFrame, shingle: int) -> np.ndarray:
     """Shingles of at least COMMON texts of a sample, the most frequent MOST of them, sorted."""
 
     def run(batches):
@@ -69,18 +103,17 @@ def common_shingles(texts: DataFrame, n_texts: int, shingle: int) -> np.ndarray:
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found))], ["s"])
 
-    share = min(1_000_000, math.ceil(1_000_000 * SAMPLE / max(1, n_texts)))
-    some = texts.filter(F.pmod(F.xxhash64("key", F.lit(7)), F.lit(1_000_000)) < share).select("t")
+    some = texts.filter(F.pmod(F.xxhash64("key", F.lit(7)), F.lit(SHARE)) == 0).select("t")
     counted = some.mapInArrow(run, "s long").groupBy("s").agg(F.count("*").alias("n")).filter(F.col("n") >= COMMON)
-    found = [r.s for r in counted.orderBy(F.desc("n"), "s").limit(MOST).collect()]
-    return np.sort(np.array(found, np.int64).view(U64))
+    found = counted.orderBy(F.desc("n"), "s").limit(MOST).toPandas()
+    return np.sort(found.s.to_numpy(np.int64).view(U64))
 
 
 def _tokens(shingle: int, similarity: float, common):
     def run(batches):
         hot, done = common.value, set()
         for b in slices(batches):
-            token, key, size = [], [], []
+            token, key, size, print_ = [], [], [], []
             for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 if k in done:
                     continue
@@ -88,45 +121,33 @@ def _tokens(shingle: int, similarity: float, common):
                 own = shingle_set(t, shingle)
                 some = prefix(own, hot, similarity)
                 token.append(some.view(np.int64))
-                key.append(np.full(len(some), k, np.int64))
-                size.append(np.full(len(some), len(own), np.int64))
+                for column, value in ((key, k), (size, len(own)), (print_, sketch(own))):
+                    column.append(np.full(len(some), value, np.int64))
             if token:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (token, key, size)], ["token", "key", "n"])
+                columns = [pa.array(np.concatenate(x)) for x in (token, key, size, print_)]
+                yield pa.RecordBatch.from_arrays(columns, ["token", "key", "n", "print"])
 
     return run
 
 
-def _shared(batches):
-    """From (token, key, n) sorted by token: the rows of tokens that several texts have, once each, with the least key."""
-    for run, (token, key, n) in _runs(batches, 3):
-        by = np.lexsort((key, run))
-        run, token, key, n = (x[by] for x in (run, token, key, n))
-        new = np.concatenate([[True], (run[1:] != run[:-1]) | (key[1:] != key[:-1])])
-        run, token, key, n = (x[new] for x in (run, token, key, n))
-        starts = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
-        sizes = np.diff(np.concatenate([starts, [len(run)]]))
-        lead, most = np.repeat(starts, sizes), np.repeat(sizes, sizes) > 1
-        columns = [x[most] for x in (token, key, n, key[lead], n[lead])]
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["token", "key", "n", "lead", "lead_n"])
-
-
 def _across(similarity: float):
     def run(batches):
-        """From (token, root, key, n) sorted by token: pairs of different roots whose sizes allow the similarity."""
+        """From (bucket, root, key, n, print) sorted by bucket: pairs of different roots that may have the similarity."""
         a, b, total = [], [], 0
 
         def flush():
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (a, b)], ["a", "b"])
 
-        for block, (_, root, key, n) in _runs(batches, 4):
+        for block, (_, root, key, n, prints) in _runs(batches, 5):
             by = np.lexsort((root, block))
-            block, root, key, n = (x[by] for x in (block, root, key, n))
+            block, root, key, n, prints = (x[by] for x in (block, root, key, n, prints.view(U64)))
             end = np.searchsorted(block, block, "right")
             change = np.concatenate([np.flatnonzero((root[1:] != root[:-1]) | (block[1:] != block[:-1])) + 1, [len(root)]])
             own_end = change[np.searchsorted(change, np.arange(len(root)), "right")]
             for i in np.flatnonzero(own_end < end).tolist():
                 s, e = own_end[i], end[i]
                 fits = np.minimum(n[i], n[s:e]) >= similarity * np.maximum(n[i], n[s:e]) - 1e-9
+                fits &= np.bitwise_count(prints[i] ^ prints[s:e]) <= FAR
                 other = key[s:e][fits]
                 a.append(np.maximum(key[i], other))
                 b.append(np.minimum(key[i], other))
@@ -155,13 +176,26 @@ def _verified(pairs: DataFrame, texts: DataFrame, scratch: Scratch, shingle: int
             mask = pa.array(ok, pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(0).filter(mask), b.column(1).filter(mask)], ["a", "b"])
 
-    asked = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-    held = scratch.table(texts.join(asked, "key", "left_semi").dropDuplicates(["key"]))
+    asked = scratch.table(pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct())
+    held = scratch.table(texts.join(few(asked), "key", "left_semi").dropDuplicates(["key"]))
     rows = pairs.join(held.select(F.col("key").alias("a"), F.col("t").alias("s")), "a").join(held.select(F.col("key").alias("b"), "t"), "b")
     return scratch.table(rows.select("a", "b", "s", "t").mapInArrow(run, "a long, b long"))
 
 
-def similar_links(docs: DataFrame, prints: DataFrame, near: DataFrame, shingle: int, similarity: float) -> DataFrame:
+def _dealt(rows: DataFrame, bucket_rows: int, scratch: Scratch) -> DataFrame:
+    """Rows of tokens that several roots share, as (bucket, root, key, n, print): a bucket for each token, or for each pair of
+    chunks of a large one."""
+    counted = rows.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("texts"))
+    asked = few(scratch.table(counted.filter("low <> high").select("token", "texts")))
+    met = rows.join(asked, "token").withColumn("chunks", F.ceil(F.col("texts") * 2 / bucket_rows).cast("int"))
+    own = F.pmod(F.xxhash64("key", F.lit(1)), F.col("chunks")).cast("int")
+    usual = met.filter(F.col("texts") <= bucket_rows).select(F.col("token").alias("bucket"), "root", "key", "n", "print")
+    large = met.filter(F.col("texts") > bucket_rows).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    pair = F.xxhash64("token", F.least("own", "other"), F.greatest("own", "other")).alias("bucket")
+    return usual.unionByName(large.select(pair, "root", "key", "n", "print")).repartition("bucket").sortWithinPartitions("bucket")
+
+
+def similar_links(docs: DataFrame, prints: DataFrame, near: DataFrame, shingle: int, similarity: float, bucket_rows: int = 20_000) -> DataFrame:
     """``near`` (links a, b of fingerprints) and links of the fingerprints of similar texts.
 
     ``prints``: (key, fp) by text of ``docs``, key its 64-bit hash. Pairs that the links connect anyway may be left out.
@@ -170,22 +204,25 @@ def similar_links(docs: DataFrame, prints: DataFrame, near: DataFrame, shingle:
     texts = docs.select(F.xxhash64("text").alias("key"), text_bytes().alias("t"))
     prints = scratch.table(prints.distinct())
     near = scratch.table(near, keep=True)
-    common = docs.sparkSession.sparkContext.broadcast(common_shingles(texts, prints.count(), shingle))
-    tokens = texts.mapInArrow(_tokens(shingle, similarity, common), "token long, key long, n long")
-    sorted_by = lambda df: df.repartition("token").sortWithinPartitions("token")
-    shared = scratch.table(sorted_by(tokens).mapInArrow(_shared, "token long, key long, n long, lead long, lead_n long"))
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(texts, shingle))
+    tokens = scratch.table(texts.mapInArrow(_tokens(shingle, similarity, common), "token long, key long, n long, print long"))
+    several = tokens.groupBy("token").agg(F.min("key").alias("low"), F.max("key").alias("high")).filter("low <> high").select("token")
+    shared = scratch.table(tokens.join(few(scratch.table(several)), "token", "left_semi").distinct())
 
     def linked(pairs):
         fp = lambda name: prints.select(F.col("key").alias(name), F.col("fp").alias(f"fp_{name}"))
         return pairs.join(fp("a"), "a").join(fp("b"), "b").select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b")).filter("a <> b").distinct()
 
-    fits = F.least("n", "lead_n") >= F.lit(similarity) * F.greatest("n", "lead_n") - F.lit(1e-9)
-    led = scratch.table(shared.filter((F.col("key") != F.col("lead")) & fits).select(F.col("key").alias("a"), F.col("lead").alias("b")).distinct())
+    leaders = shared.groupBy("token").agg(F.min(F.struct("key", "n", "print")).alias("lead"))
+    fits = F.least("n", "lead.n") >= F.lit(similarity) * F.greatest("n", "lead.n") - F.lit(1e-9)
+    close = F.bit_count(F.col("print").bitwiseXOR(F.col("lead.print"))) <= FAR
+    led = shared.join(leaders, "token").filter((F.col("key") != F.col("lead.key")) & fits & close)
+    led = scratch.table(led.select(F.col("key").alias("a"), F.col("lead.key").alias("b")).distinct())
     links = scratch.table(near.unionByName(linked(_verified(led, texts, scratch, shingle, similarity))), keep=True)
     roots = connected_components(links).withColumnRenamed("node", "fp")
-    rooted = prints.join(roots, "fp", "left").select("key", F.coalesce("root", "fp").alias("root"))
-    sides = shared.join(rooted, "key").select("token", "root", "key", "n")
-    crossing = sorted_by(sides).mapInArrow(_across(similarity), "a long, b long").distinct()
+    rooted = scratch.table(prints.join(roots, "fp", "left").select("key", F.coalesce("root", "fp").alias("root")))
+    sides = scratch.table(shared.join(rooted, "key").select("token", "root", "key", "n", "print"))
+    crossing = _dealt(sides, bucket_rows, scratch).mapInArrow(_across(similarity), "a long, b long").distinct()
     rest = scratch.table(crossing.join(led, ["a", "b"], "left_anti"))
     found = scratch.table(linked(_verified(rest, texts, scratch, shingle, similarity)), keep=True)
     scratch.clear()

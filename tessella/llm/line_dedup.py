@@ -4,19 +4,23 @@ Of lines that are equal up to one word (substituted, inserted or left out) the e
 line number. Lines are compared as words; white space does not matter, case does. Two lines are within one edit if and
 only if they have a common variant: both without the word at the same position (a substitution), or one as it is and
 the other without some word (an insertion). So variants are emitted as hashed keys, one for each position, and equal keys
-are joined; the join needs minima of the order only, so groups of many lines are never paired up. What it proposes, one
-earlier line for each line, is verified on the words.
+are joined; the join needs minima of the order only, so groups of many lines are never paired up. What it proposes,
+earlier lines for a line, is verified on the words.
 
 Emitting the variants of every line would multiply the text. Lines within one edit have the first or the last half in
 common, so a first join on hashes of halves, exact and cheap, leaves the lines that share one with a different line, and
 only these emit variants, for the positions outside the shared half.
 
+A half, a variant or a line that very many lines have is no task of its own: what is asked of a key are minima and maxima,
+aggregated with partial sums, and joins back to them are open to skew splitting.
+
 Lines of fewer than ``min_words`` words are compared exactly only (one edit in five words is a similarity of 0.8); lines
 without a word are no lines and always stay.
 
 Defined results: null and empty texts have no lines and stay; repeated rows (equal doc_id and text) stand at the same
-place and get the same result; rows with a null doc_id come last; an empty table gives an empty one. A line is dropped if
-any earlier line is within the bound, also one that is dropped itself. Very long lines emit one variant for each word.
+place and get the same result; rows with a null doc_id come last; ids that are not integers are ordered as strings; an empty
+table gives an empty one. A line is dropped if any earlier line is within the bound, also one that is dropped itself. Very
+long lines emit one variant for each word.
 """
 
 from __future__ import annotations
@@ -24,10 +28,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from .common import Scratch, doc_key, slices, text_bytes
+from .common import Scratch, doc_key, few, slices, text_bytes
 
 U64 = np.uint64
 MULTIPLIER = 0x9E3779B97F4A7C15
@@ -35,7 +40,7 @@ MULTIPLIER = 0x9E3779B97F4A7C15
 ROWS_AT_ONCE = 100_000
 
 
-def _line_rows(min_words: int):
+def _line_rows(min_words: int, place_type: pa.DataType):
     """(key, place, no, h, later, halves) of every line with a word.
 
     A line is ``later`` if the task has met the same line at an earlier place: it repeats for sure, so hot lines are
@@ -48,12 +53,12 @@ def _line_rows(min_words: int):
         return (digest(b" ".join(words), seed) >> 1 << 1 | seed) - (1 << 63)
 
     def flush(place, key, no, h, halves):
-        place, key, no, h = (np.array(x, np.int64) for x in (place, key, no, h))
-        order = np.lexsort((no, key, place, h))
+        key, no, h = (np.array(x, np.int64) for x in (key, no, h))
+        order = np.lexsort((no, key, np.unique(np.array(place), return_inverse=True)[1], h))
         later = np.zeros(len(h), bool)
         later[order[1:]] = h[order[1:]] == h[order[:-1]]
         halves = [None if x else y for x, y in zip(later.tolist(), halves, strict=True)]
-        columns = [pa.array(x) for x in (key, place, no, h, later)]
+        columns = [pa.array(key), pa.array(place, place_type), *(pa.array(x) for x in (no, h, later))]
         return pa.RecordBatch.from_arrays([*columns, pa.array(halves, pa.list_(pa.int64()))], ["key", "place", "no", "h", "later", "halves"])
 
     def run(batches):
@@ -89,54 +94,37 @@ def _line_rows(min_words: int):
     return run
 
 
+def place_type(docs: DataFrame) -> str:
+    return "long" if isinstance(docs.schema["doc_id"].dataType, IntegralType) else "string"
+
+
+def place(docs: DataFrame) -> Column:
+    """Where a document stands: its id, or what is above all ids for null."""
+    last = F.lit((1 << 63) - 1) if place_type(docs) == "long" else F.lit(chr(0x10FFFF) * 8)
+    return F.coalesce(F.col("doc_id").cast(place_type(docs)), last)
+
+
 def line_rows(docs: DataFrame, min_words: int) -> DataFrame:
-    place = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
-    read = docs.select(doc_key().alias("key"), place.alias("place"), text_bytes().alias("t"))
-    return read.mapInArrow(_line_rows(min_words), "key long, place long, no long, h long, later boolean, halves array<long>")
-
-
-def _runs(batches, width: int):
-    """Columns of rows that come sorted by the first, cut into blocks at its changes; the first as a group number."""
-    held, total = [], 0
-
-    def block(columns):
-        new = np.concatenate([[True], columns[0][1:] != columns[0][:-1]])
-        return np.cumsum(new), columns
-
-    for b in slices(batches, ROWS_AT_ONCE):
-        held.append([b.column(k).to_numpy(zero_copy_only=False) for k in range(width)])
-        total += b.num_rows
-        if total >= ROWS_AT_ONCE:
-            columns = [np.concatenate(x) for x in zip(*held, strict=True)]
-            change = np.flatnonzero(columns[0][1:] != columns[0][:-1])
-            cut = int(change[-1]) + 1 if len(change) else 0
-            if cut:
-                yield block([c[:cut] for c in columns])
-            held, total = [[c[cut:] for c in columns]], total - cut
-    if total:
-        yield block([np.concatenate(x) for x in zip(*held, strict=True)])
-
-
-def _shared_halves(batches):
-    """From (half, h, place, key, no) sorted by half: the lines that share a half with a different line."""
-    for run, (half, h, place, key, no) in _runs(batches, 5):
-        starts = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
-        mixed = (np.minimum.reduceat(h, starts) != np.maximum.reduceat(h, starts))[run - 1]
-        first = half[mixed] & 1 == 1
-        columns = [h[mixed], place[mixed], key[mixed], no[mixed], first]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["h", "place", "key", "no", "first"])
+    kind = place_type(docs)
+    read = docs.select(doc_key().alias("key"), place(docs).alias("place"), text_bytes().alias("t"))
+    run = _line_rows(min_words, pa.int64() if kind == "long" else pa.string())
+    return read.mapInArrow(run, f"key long, place {kind}, no long, h long, later boolean, halves array<long>")
 
 
 def _asked_lines(batches):
-    """From (place, key, t, found): the lines asked for, with their texts."""
+    """From (key, t, found): the lines asked for, with their texts."""
+    done: set[int] = set()
     for b in slices(batches):
         out = []
-        for place, key, text, found in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
+        for key, text, found in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+            if key in done:  # a row that is repeated as a whole
+                continue
+            done.add(key)
             lines = text.split(b"\n")
-            out += [(x["h"], place, key, x["no"], x["first"], x["last"], b" ".join(lines[x["no"]].split())) for x in found]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.binary()]
-        columns = list(zip(*out, strict=True)) or [()] * 7
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["h", "place", "key", "no", "first", "last", "line"])
+            out += [(x["h"], x["first"], x["last"], b" ".join(lines[x["no"]].split())) for x in found]
+        kinds = [pa.int64(), pa.bool_(), pa.bool_(), pa.binary()]
+        columns = list(zip(*out, strict=True)) or [()] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["h", "first", "last", "line"])
 
 
 def _word_hashes(line: bytes) -> np.ndarray:
@@ -174,70 +162,31 @@ def within_one_edit(a: list, b: list) -> bool:
 
 
 def _variant_rows(batches):
-    """(v, p, h, place, key, no, g): variants of lines, pre-aggregated.
-
-    Of the lines that a task sees with the same variant at the same position, the earliest goes on as their
-    representative (its ``g`` is the line itself); the others have found an earlier line, ``g``, and only say so.
-    """
-
-    def flush(v, p, own, rows):
-        v, p, own = np.concatenate(v).view(np.int64), np.concatenate(p), np.concatenate(own)
-        h, place, key, no = (np.array(x, np.int64)[own] for x in zip(*rows, strict=True))
-        order = np.lexsort((no, key, place, p, v))
-        v, p, h, place, key, no = (x[order] for x in (v, p, h, place, key, no))
-        new = np.concatenate([[True], (v[1:] != v[:-1]) | (p[1:] != p[:-1])])
-        start = np.maximum.accumulate(np.where(new, np.arange(len(v)), 0))
-        spread = np.where(new, v, h ^ v)  # what is settled needs no company
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (spread, p, h, place, key, no, h[start])], ["v", "p", "h", "place", "key", "no", "g"])
-
-    v, p, own, rows, total = [], [], [], [], 0
+    """(v, p, h): variants of lines; p is the position left out, -1 for the line as it is."""
     for b in slices(batches):
-        for h, place, key, no, first, last, line in zip(*(b.column(k).to_pylist() for k in range(7)), strict=True):
+        v, p, h = [], [], []
+        for own, first, last, line in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
             whole, at, without = variants(line, first, last)
             v += [np.array([whole], U64), without]
             p += [np.array([-1]), at]
-            own.append(np.full(len(at) + 1, len(rows)))
-            rows.append((h, place, key, no))
-            total += len(at) + 1
-        if total > ROWS_AT_ONCE:
-            yield flush(v, p, own, rows)
-            v, p, own, rows, total = [], [], [], [], 0
-    if rows:
-        yield flush(v, p, own, rows)
-
-
-def _earlier_lines(batches):
-    """From (v, p, h, place, key, no, g) sorted by v: (h, g), a line and an earlier one that shares a variant."""
-    for run, (_, p, h, place, key, no, g) in _runs(batches, 7):
-        known = g != h
-        yield _proposals(h[known], g[known])
-        run, p, h, place, key, no = (x[~known] for x in (run, p, h, place, key, no))
-        if not len(h):
-            continue
-        order = np.lexsort((no, key, place))
-        rank = np.empty(len(h), np.int64)
-        rank[order] = np.arange(len(h))  # order in the corpus; equal places are the same line
-        by = np.lexsort((rank, p, run))
-        run, p, h, rank = run[by], p[by], h[by], rank[by]
-        new_run = np.concatenate([[True], run[1:] != run[:-1]])
-        new = new_run | np.concatenate([[True], p[1:] != p[:-1]])
-        far = len(h)
-        # The earliest line with the word left out at the same position; the earliest that is the variant itself; the
-        # earliest of those that are it without some word.
-        same = rank[np.maximum.accumulate(np.where(new, np.arange(far), 0))]
-        starts = np.flatnonzero(new_run)
-        index = np.cumsum(new_run) - 1
-        whole = np.minimum.reduceat(np.where(p < 0, rank, far), starts)[index]
-        shorter = np.minimum.reduceat(np.where(p >= 0, rank, far), starts)[index]
-        other = np.where(p < 0, shorter, np.minimum(same, whole))
-        ok = other < rank
-        by_rank = np.empty(far, np.int64)
-        by_rank[rank] = h
-        yield _proposals(h[ok], by_rank[other[ok]])
-
-
-def _proposals(h: np.ndarray, g: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(h), pa.array(g)], ["h", "g"])
+            h.append(np.full(len(at) + 1, own))
+        if h:
+            columns = np.concatenate(v).view(np.int64), np.concatenate(p).astype(np.int32), np.concatenate(h).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["v", "p", "h"])
+
+
+def earlier_lines(met: DataFrame) -> DataFrame:
+    """From variants (v, p, h) with the places of their lines (struct ``at``): (h, g), lines and earlier ones that share a variant.
+
+    The earliest line that lacks the word at the same position, the earliest that is the variant itself, and the earliest of
+    those that are it without some word.
+    """
+    line = F.struct("at", "h")
+    same = met.filter("p >= 0").groupBy("v", "p").agg(F.min(line).alias("same"))
+    either = met.groupBy("v").agg(F.min(F.when(F.col("p") < 0, line)).alias("whole"), F.min(F.when(F.col("p") >= 0, line)).alias("shorter"))
+    both = met.join(same, ["v", "p"], "left").join(either, "v")
+    found = both.withColumn("other", F.explode(F.when(F.col("p") < 0, F.array("shorter")).otherwise(F.array("same", "whole"))))
+    return found.filter("other.at < at").select("h", F.col("other.h").alias("g")).distinct()
 
 
 def _verified(batches):
@@ -247,22 +196,26 @@ def _verified(batches):
 
 
 def near_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
-    """(h): hashes of lines that have an earlier line within one edit, but not equal."""
+    """(h): hashes of lines that have an earlier line within one edit, but not equal; ``firsts`` has one row for each line."""
     scratch = Scratch(docs.sparkSession)
-    halves = firsts.select(F.explode("halves").alias("half"), "h", "place", "key", "no")
-    sharing = halves.repartition("half").sortWithinPartitions("half").mapInArrow(_shared_halves, "h long, place long, key long, no long, first boolean")
-    once = sharing.groupBy("h", "place", "key", "no").agg(F.max("first").alias("first"), F.max(~F.col("first")).alias("last"))
-    by_doc = once.groupBy("key").agg(F.first("place").alias("place"), F.collect_list(F.struct("h", "no", "first", "last")).alias("found"))
-    texts = docs.select(doc_key().alias("key"), text_bytes().alias("t")).join(by_doc, "key").select("place", "key", "t", "found")
-    schema = "h long, place long, key long, no long, first boolean, last boolean, line binary"
-    asked = scratch.table(texts.mapInArrow(_asked_lines, schema))
-    # Sorted, so that a task that runs again after a loss pre-aggregates the same rows together.
-    rows = asked.dropDuplicates(["h"]).sortWithinPartitions("h").mapInArrow(_variant_rows, "v long, p long, h long, place long, key long, no long, g long")
-    met = rows.repartition("v").sortWithinPartitions("v").mapInArrow(_earlier_lines, "h long, g long")
-    proposed = met.groupBy("h").agg(F.min("g").alias("g"))
-    line = asked.groupBy("h").agg(F.first("line").alias("line"))
-    pairs = proposed.join(line, "h").join(line.select(F.col("h").alias("g"), F.col("line").alias("other")), "g").select("h", "line", "other")
-    found = scratch.table(pairs.mapInArrow(_verified, "h long").distinct(), keep=True)
+    halves = firsts.select(F.explode("halves").alias("half"), "h", "key", "no")
+    mixed = halves.groupBy("half").agg(F.min("h").alias("a"), F.max("h").alias("b")).filter("a <> b").select("half")
+    first = (F.col("half") % 2 != 0).alias("first")
+    sharing = halves.join(few(scratch.table(mixed)), "half", "left_semi").select("key", "no", "h", first)
+    by_line = sharing.groupBy("key", "no", "h").agg(F.max("first").alias("first"), F.max(~F.col("first")).alias("last"))
+    by_doc = by_line.groupBy("key").agg(F.collect_list(F.struct("h", "no", "first", "last")).alias("found"))  # at most a text's lines
+    texts = docs.select(doc_key().alias("key"), text_bytes().alias("t")).join(by_doc, "key").select("key", "t", "found")
+    asked = scratch.table(texts.mapInArrow(_asked_lines, "h long, first boolean, last boolean, line binary"))
+    rows = scratch.table(asked.mapInArrow(_variant_rows, "v long, p int, h long"))
+    common = rows.groupBy("v").agg(F.min("h").alias("a"), F.max("h").alias("b")).filter("a <> b").select("v")
+    met = scratch.table(rows.join(few(scratch.table(common)), "v", "left_semi"))
+    placed = met.join(firsts.select("h", F.struct("place", "key", "no").alias("at")), "h")
+    pairs = scratch.table(earlier_lines(placed))
+    ids = pairs.select("h").unionByName(pairs.select(F.col("g").alias("h"))).distinct()
+    line = asked.select("h", "line").join(few(scratch.table(ids)), "h", "left_semi").groupBy("h").agg(F.first("line").alias("line"))
+    line = scratch.table(line)
+    both = pairs.join(line, "h").join(line.select(F.col("h").alias("g"), F.col("line").alias("other")), "g").select("h", "line", "other")
+    found = scratch.table(both.mapInArrow(_verified, "h long").distinct(), keep=True)
     scratch.clear()
     return found
 
@@ -271,21 +224,25 @@ def line_decisions(docs: DataFrame, min_words: int = 5) -> DataFrame:
     """(key, n_lines, n_exact, n_near, dropped): by document row key, the lines that go and why."""
     scratch = Scratch(docs.sparkSession)
     rows = scratch.table(line_rows(docs, min_words), keep=True)
-    nth = F.row_number().over(Window.partitionBy("h").orderBy("place", "key", "no"))
-    # Of rows that stand at the same place, whole repeats of a document row, each is as early as the other.
-    at = F.struct("place", "key", "no")
-    first = F.first(at).over(Window.partitionBy("h").orderBy("place", "key", "no"))
-    looked = rows.filter("NOT later").withColumn("exact", first != at).withColumn("lead", nth == 1)
-    looked = scratch.table(looked.select("key", "place", "no", "h", "halves", "exact", "lead"), keep=True)
-    near = near_lines(docs, looked.filter("lead AND halves IS NOT NULL")).withColumn("near", F.lit(True))
+    early = rows.filter("NOT later")
+    # Rows that stand at the same place are whole repeats of a document row: each is as early as the other.
+    lead = F.min(F.struct("place", "key", "no", "halves")).alias("x")
+    firsts = scratch.table(early.groupBy("h").agg(lead).select("h", "x.*"), keep=True)
+    near = near_lines(docs, firsts.filter("halves IS NOT NULL")).withColumn("near", F.lit(True))
+    lines = firsts.select("h", F.struct("place", "key", "no").alias("first")).join(near, "h", "left")
+    found = early.join(lines, "h").withColumn("exact", F.struct("place", "key", "no") != F.col("first"))
+    judged = found.select("key", "no", "exact", (F.col("near").isNotNull() & ~F.col("exact")).alias("near"))
     settled = rows.filter("later").select("key", "no", F.lit(True).alias("exact"), F.lit(False).alias("near"))
-    judged = looked.join(near, "h", "left").select("key", "no", "exact", (F.col("near").isNotNull() & ~F.col("exact")).alias("near"))
-    once = settled.unionByName(judged).groupBy("key", "no").agg(F.max("exact").alias("exact"), F.max("near").alias("near"))
-    return once.groupBy("key").agg(
-        F.count("*").alias("n_lines"),
-        F.count(F.when(F.col("exact"), 1)).alias("n_exact"),
-        F.count(F.when(F.col("near"), 1)).alias("n_near"),
-        F.array_sort(F.collect_list(F.when(F.col("exact") | F.col("near"), F.col("no").cast("int")))).alias("dropped"),  # at most a text's lines
+    # At most a text's lines; repeats of a row say the same.
+    by_doc = settled.unionByName(judged).groupBy("key").agg(F.collect_set(F.struct(F.col("no").cast("int").alias("no"), "exact", "near")).alias("x"))
+    n = lambda test: F.size(F.filter("x", test)).cast("long")
+    gone = F.filter("x", lambda r: r["exact"] | r["near"])
+    return by_doc.select(
+        "key",
+        F.size("x").cast("long").alias("n_lines"),
+        n(lambda r: r["exact"]).alias("n_exact"),
+        n(lambda r: r["near"]).alias("n_near"),
+        F.array_sort(F.transform(gone, lambda r: r["no"])).alias("dropped"),
     )
 
 

@@ -54,56 +54,96 @@ def source_targets(totals: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_
     )
 
 
-def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3, seed: int = 20240229) -> DataFrame:
-    """Rows of ``docs`` as (doc_id, size, source_size, target, taken): the words of each document that the mix takes."""
-    scratch = Scratch(docs.sparkSession)
-    sized = scratch.table(
-        docs.select(
-            "doc_id",
-            F.coalesce(F.col("source"), F.lit("")).alias("source_key"),
-            F.col("source").isNull().alias("no_source"),
-            word_count().alias("size"),
-            seeded_hash(F.col("doc_id"), seed).alias("u"),
-        ).withColumn("bin", F.shiftright("u", HASH_BITS - BINS.bit_length() + 1)),
-        keep=True,
-    )
-    bins = sized.groupBy("no_source", "source_key", "bin").agg(F.sum("size").alias("bin_size"))
-    totals = bins.groupBy("no_source", "source_key").agg(F.sum("bin_size").alias("source_size"))
+def sized_rows(docs: DataFrame, seed: int) -> DataFrame:
+    """``docs`` with no_source and source_key, size, u (seeded hash of doc_id) and the bin of u."""
+    named = {
+        "no_source": F.col("source").isNull(),
+        "source_key": F.coalesce(F.col("source").cast("string"), F.lit("")),
+        "size": word_count(),
+        "u": seeded_hash(F.col("doc_id"), seed),
+    }
+    return docs.withColumns(named).withColumn("bin", F.shiftright("u", HASH_BITS - BINS.bit_length() + 1))
+
+
+SOURCE = ["no_source", "source_key"]
+
+
+def source_plan(sized: DataFrame, weights: tuple[int, ...], max_epochs: int) -> DataFrame:
+    """By source: source_size, target, whole passes, the last bin that the fractional pass enters (null: none), whether it ends
+    within that bin, and how many words of that bin it takes."""
+    bins = sized.groupBy(*SOURCE, "bin").agg(F.sum("size").alias("bin_size"))
+    totals = bins.groupBy(*SOURCE).agg(F.sum("bin_size").alias("source_size"))
     named = totals.withColumn("source", F.when(~F.col("no_source"), F.col("source_key"))).select("source", "source_size")
     targets = source_targets(named, weights, max_epochs).select(
         F.col("source").isNull().alias("no_source"), F.coalesce("source", F.lit("")).alias("source_key"), "source_size", "target"
     )
     whole = F.when(F.col("source_size") > 0, F.floor(F.floor(F.col("target") + 0.5) / F.col("source_size"))).otherwise(0).cast("long")
-    below = Window.partitionBy("no_source", "source_key").orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    plan = (
+    below = Window.partitionBy(*SOURCE).orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    entered = F.when(F.col("before") < F.col("need"), F.struct("bin", "bin_size", (F.col("need") - F.col("before")).alias("left")))
+    return (
         bins.withColumn("before", F.sum("bin_size").over(below) - F.col("bin_size"))
-        .join(targets, ["no_source", "source_key"])
+        .join(targets, SOURCE)
         .withColumn("whole", whole)
         .withColumn("need", F.floor(F.col("target") + 0.5).cast("long") - F.col("whole") * F.col("source_size"))
-        .withColumn("cut", (F.col("before") < F.col("need")) & (F.col("need") < F.col("before") + F.col("bin_size")))
+        .groupBy(*SOURCE, "source_size", "target", "whole")
+        .agg(F.max(entered).alias("x"))
+        .select(*SOURCE, "source_size", "target", "whole", F.col("x.bin").alias("edge"), (F.col("x.left") < F.col("x.bin_size")).alias("ends_within"), "x.left")
     )
-    rows = sized.join(plan, ["no_source", "source_key", "bin"])
-    out = ["doc_id", "size", "source_size", "target"]
-    plain = rows.filter(~F.col("cut")).withColumn("extra", F.when(F.col("before") < F.col("need"), F.col("size")).otherwise(0))
-    within = Window.partitionBy("no_source", "source_key").orderBy("u", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    left = F.col("need") - F.col("before") - (F.sum("size").over(within) - F.col("size"))
-    cut = rows.filter("cut").withColumn("extra", F.greatest(F.lit(0), F.least(F.col("size"), left)))
+
+
+def in_cut_bin() -> Column:
+    return F.coalesce(F.col("ends_within") & (F.col("bin") == F.col("edge")), F.lit(False))
+
+
+def plain_extra() -> Column:
+    """Words of the fractional pass that a row outside of the cut bin gives."""
+    return F.when(F.col("bin") <= F.col("edge"), F.col("size")).otherwise(F.lit(0).cast("long"))
+
+
+def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3, seed: int = 20240229) -> DataFrame:
+    """Rows of ``docs`` as (doc_id, size, source_size, target, taken): the words of each document that the mix takes."""
+    scratch = Scratch(docs.sparkSession)
+    sized = scratch.table(sized_rows(docs.select("doc_id", "text", "source"), seed).select("doc_id", *SOURCE, "size", "u", "bin"), keep=True)
+    rows = sized.join(scratch.table(source_plan(sized, weights, max_epochs), keep=True), SOURCE)
+    within = Window.partitionBy(*SOURCE).orderBy("u", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    left = F.col("left") - (F.sum("size").over(within) - F.col("size"))
+    plain = rows.filter(~in_cut_bin()).withColumn("extra", plain_extra())
+    cut = rows.filter(in_cut_bin()).withColumn("extra", F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), left)))
     taken = (F.col("whole") * F.col("size") + F.col("extra")).cast("long").alias("taken")
-    return plain.select(*out, taken).unionByName(cut.select(*out, taken))
+    out = ["doc_id", "size", "source_size", "target", taken]
+    return plain.select(*out).unionByName(cut.select(*out))
 
 
-def mix_documents(docs: DataFrame, **options) -> DataFrame:
+def mix_documents(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3, seed: int = 20240229) -> DataFrame:
     """Documents that the mix takes, with ``taken`` words and the number of ``copies`` begun: the last pipeline stage.
 
-    Rows that repeat doc_id tie; each row's share is its own: rows are matched by doc_id and their rank in it.
+    Every row is judged by its own source, so rows may share a doc_id. Texts are not shuffled, but for the one bin of each
+    source in which the fractional pass ends. Rows equal in every column there form a group: the first of them are taken
+    whole, one in part.
     """
-    rank = lambda *order: F.row_number().over(Window.partitionBy("doc_id").orderBy(*order))
-    mixed = mix_sources(docs, **options).withColumn("_nth", rank("size", "source_size", "taken"))
-    mixed = mixed.withColumn("copies", F.when(F.col("size") > 0, F.ceil(F.col("taken") / F.col("size"))).otherwise(0))
-    left = docs.drop("taken", "copies").withColumn("_size", word_count()).withColumn("_nth", rank("_size", F.length("text")))
-    right = mixed.select(F.col("doc_id").alias("_doc_id"), F.col("_nth").alias("_r"), "taken", "copies")
-    same = left["doc_id"].eqNullSafe(right["_doc_id"]) & (left["_nth"] == right["_r"])
-    return left.join(right, same).filter("taken > 0").drop("_doc_id", "_r", "_nth", "_size")
+    scratch = Scratch(docs.sparkSession)
+    plain = docs.drop("taken", "copies")
+    names = plain.columns
+    sized = scratch.table(sized_rows(plain.select("doc_id", "text", "source"), seed).select("doc_id", *SOURCE, "size", "u", "bin"))
+    plan = scratch.table(source_plan(sized, weights, max_epochs), keep=True)
+    scratch.clear()
+    own = F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")
+    keyed = plain.select(own, F.xxhash64(*[F.col(f"`{c}`") for c in names]).alias("key"), "doc_id", "text", "source")
+    rows = sized_rows(keyed, seed).select("row", "key", *SOURCE, "size", "u", "bin").join(plan, SOURCE)
+    usual = rows.filter(~in_cut_bin()).select("row", "size", (F.col("whole") * F.col("size") + plain_extra()).alias("taken"))
+    same = [*SOURCE, "u", "size", "key", "whole", "left"]
+    groups = rows.filter(in_cut_bin()).groupBy(*same).agg(F.first("row").alias("row"), F.count("*").alias("n"))
+    within = Window.partitionBy(*SOURCE).orderBy("u", "size", "key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    spread = scratch.table(groups.drop("row").withColumn("words", F.col("n") * F.col("size")), keep=True)
+    spread = spread.withColumn("left", F.col("left") - (F.sum("words").over(within) - F.col("words"))).drop("words", "n")
+    ends = groups.drop("left").join(spread, [c for c in same if c != "left"])
+    # Words that the k-th of a group's equal rows gives.
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("k")
+    ended = ends.select("row", "size", "whole", "left", each).select(
+        "row", "size", (F.col("whole") * F.col("size") + F.greatest(F.lit(0).cast("long"), F.least("size", F.col("left") - F.col("k") * F.col("size")))).alias("taken")
+    )
+    copies = F.when(F.col("size") > 0, F.ceil(F.col("taken") / F.col("size"))).otherwise(0)
+    return usual.unionByName(ended).filter("taken > 0").select("row.*", F.col("taken").cast("long").alias("taken"), copies.alias("copies"))
 
 
 #: The same rows in DuckDB: running sums over whole sources, in the same order.

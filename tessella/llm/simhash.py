@@ -21,7 +21,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, text_bytes, words
@@ -124,8 +124,10 @@ def _pairs(found) -> pa.RecordBatch:
 def close_pairs(prints: DataFrame, distance: int = 3, blocks: int = 5, bucket_rows: int = 20_000) -> DataFrame:
     """Links (a, b) between distinct fingerprints ``fp``: a spanning forest of each bucket's links."""
     dealt = prints.select("fp", F.explode(F.array(*block_keys(distance, blocks))).alias("bucket"))
-    sized = dealt.withColumn("n", F.count("*").over(Window.partitionBy("bucket"))).filter("n > 1")
-    usual = sized.filter(F.col("n") <= bucket_rows).select("bucket", "fp").sortWithinPartitions("bucket")
+    # Counted with partial sums; the join may split a hot bucket, so buckets are dealt out anew before they are searched.
+    counted = dealt.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    sized = dealt.join(counted, "bucket")
+    usual = sized.filter(F.col("n") <= bucket_rows).select("bucket", "fp").repartition("bucket").sortWithinPartitions("bucket")
     chunks = F.ceil(F.col("n") * 2 / bucket_rows).cast("int")
     own = F.pmod(F.xxhash64("fp", F.lit(1)), chunks).cast("int")
     large = (
@@ -167,4 +169,5 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     kept = classes.filter("doc_id = component_id").groupBy(F.col("doc_id").alias("_id")).agg(F.min("key").alias("_key"))
     keyed = docs.withColumn("_row_key", F.xxhash64("text"))
     first = keyed.join(kept, (F.col("doc_id") == F.col("_id")) & (F.col("_row_key") == F.col("_key")), "left_semi")
-    return first.dropDuplicates(["doc_id"]).drop("_row_key").unionByName(docs.filter("doc_id IS NULL"))
+    # By the columns of the join, so that texts move once.
+    return first.dropDuplicates(["doc_id", "_row_key"]).drop("_row_key").unionByName(docs.filter("doc_id IS NULL"))

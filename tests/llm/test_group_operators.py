@@ -16,6 +16,7 @@ from hypothesis import strategies as st
 
 import corpus_pipeline
 from tessella.llm import components, decontam, hmm_lm, jaccard, mixing, simhash, suffix_dedup, wrapper
+from tessella.llm import common as few_keys
 from tessella.llm.common import words
 from tessella.llm.grouping_sa import suffix_array
 from tessella.llm.queries import oracle_sql, queries
@@ -103,15 +104,27 @@ def test_near_duplicates_and_edges(spark, edges, no_rows):
     assert simhash.near_duplicates(no_rows).count() == 0 and simhash.one_of_each(no_rows).count() == 0
 
 
+def test_near_duplicates_of_real_texts(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").orderBy("doc_id")
+    rows = docs.collect()
+    prints = [plain_fingerprint(r.text or "") for r in rows]
+    root = plain_components(prints, 3)
+    least = {x: min(r.doc_id for r, y in zip(rows, root, strict=True) if y == x) for x in set(root)}
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in queries()["op5_simhash"](spark, SF).collect()}
+    assert got == {r.doc_id: (f"{p:016x}", least[x]) for r, p, x in zip(rows, prints, root, strict=True)}
+
+
 def shingles(text, k=5):
     w = [x.decode() for x in words(text.encode())]
     return {tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} if w else set()
 
 
-@pytest.mark.parametrize("common", [4, 1])
-def test_near_dedup_loses_no_similar_pair(spark, monkeypatch, common):
+@pytest.mark.parametrize(("common", "bucket_rows", "broadcast_keys"), [(3, 20_000, 1_000_000), (1, 6, 0)])
+def test_near_dedup_loses_no_similar_pair(spark, monkeypatch, common, bucket_rows, broadcast_keys):
     """The pipeline's stage against all pairs: Jaccard similarity 0.8 or more, also where fingerprints are far apart."""
     monkeypatch.setattr(jaccard, "COMMON", common)
+    monkeypatch.setattr(jaccard.similar_links, "__defaults__", (bucket_rows,))
+    monkeypatch.setattr(few_keys, "BROADCAST_KEYS", broadcast_keys)
     rng = random.Random(8)
     prose = lambda n: [f"w{rng.randrange(500)}" for _ in range(n)]
     passage, texts = prose(40), ["", "one two", "One  two"]
@@ -186,7 +199,10 @@ def test_repeats_edge_cases(spark, edges, no_rows):
 # Language model -------------------------------------------------------------------------------------------------------------
 
 
-def test_recursions_against_enumeration():
+@pytest.mark.parametrize("block_tokens", [300_000, 5, 1])
+def test_recursions_against_enumeration(monkeypatch, block_tokens):
+    """Whole sequences, also where the backward pass recomputes the forward one in segments."""
+    monkeypatch.setattr(hmm_lm, "BLOCK_TOKENS", block_tokens)
     rng = np.random.default_rng(0)
     k, symbols = 3, 4
     normal = lambda *s: (lambda x: x / x.sum(-1, keepdims=True))(rng.random(s) + 0.1)
@@ -230,6 +246,28 @@ def test_scores(spark, head):
     assert sum(r.score for r in trained) > sum(r.base_score for r in trained)
 
 
+@pytest.mark.parametrize("head", [20, 1, 0])
+def test_words_met_over_a_million_times(spark, head):
+    texts = ["a " * 30_000] * 45 + ["a a b", "b c", "c"]
+    held = [zlib.crc32(str(i).encode()) % 10 == 0 for i in range(len(texts))]
+    c = Counter(w for t, h in zip(texts, held, strict=True) if not h for w in [*t.split(), None])
+    n, v = sum(c.values()), len(c)
+    assert c["a"] > 1_000_000
+    for r in hmm_lm.score_documents(docs_of(spark, texts), states=2, buckets=64, rounds=1, head=head).collect():
+        t = [*texts[r.doc_id].split(), None]
+        assert (r.n_known, r.train_tokens) == (sum(c[w] > 0 for w in t), n)
+        assert r.base_score == pytest.approx(sum(k * math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w, k in Counter(t).items()), rel=1e-9)
+
+
+@pytest.mark.parametrize("head", range(0, 9))
+def test_least_count(spark, head):
+    c = [1, 1, 3, 1024, 1025, 70_000, 70_000, 1 << 33]
+    counts = spark.createDataFrame(list(enumerate(c)), "h long, c long")
+    least = hmm_lm.least_count(counts, head)
+    want = [x for x in sorted(set(c)) if sum(y >= x for y in c) <= head]
+    assert [x for x in sorted(set(c)) if x >= least] == want
+
+
 def test_model_is_a_distribution(spark):
     """Over all texts of up to two words, known and unseen, probabilities and the rest's bound sum to one."""
     rng = random.Random(3)
@@ -332,6 +370,53 @@ def test_versions_of_an_article_are_no_template(spark):
     assert all(got[k] == got[20 + k] == f"Version {k}.\nShared one.\nShared two." for k in range(10))
 
 
+def test_names_count_as_a_whole():
+    """Innocent names, articles as a whole, several articles, a headline in the main part, nested adverts, formulas."""
+
+    def text(page):
+        tree = wrapper.parse(page)
+        return [tree.text[k] for k in wrapper.content(tree)]
+
+    for name in ("class='comment-on-law'", "id=search-results", "class='social-history'", "class=responsive", "class='notice board'"):
+        assert text(f"<body><article {name}><p>Body.</p></article></body>") == ["Body."]
+    assert text("<body><article><section class='comment-on-law'><p>a</p></section><section class='user-comments'><p>b</p></section></article>") == ["a"]
+    assert text("<article><p>one</p></article><article><p>two</p></article><div>rest</div>") == ["one", "two"]
+    assert text("<article><p>one</p><article class=comment><p>hm</p></article></article><article class='teaser small'>t</article>") == ["one"]
+    assert text("<main><h1>Title</h1><article><p>x</p></article><p>Author</p></main><p>out</p>") == ["Title", "x", "Author"]
+    assert text("<article><p>a <span class=ad>Buy <span>now</span> this</span> b</p></article>") == ["a b"]
+    assert text("<article><p>a <span class=ad>Buy <span>now</p><p>b</p></article>") == ["a Buy now", "b"]
+    assert text("<article><p>Let <math><mi>x</mi></math> be <button>big</button></p></article>") == ["Let x be big"]
+    assert text("<div class=notice><article>All of it</article></div><p>© us</p>") == ["All of it"]
+    assert text("<div class=sidebar><p>only this</p></div>") == ["only this"]
+    assert text("<section class=related><article><p>t</p></article></section><article><p>a</p></article>") == ["a"]
+
+
+def test_deep_and_wide_pages(spark):
+    """No step recurses, and wide lists are matched."""
+    deep = lambda k: "<body>" + "<div>" * 5000 + f"<p>Deep {k}</p><p>Same</p>" + "</div>" * 5000 + "</body>"
+    wide = lambda k: "<body><ul>" + "".join(f"<li><p>Item {j if j % 3 else (j, k)}</p></li>" for j in range(1500 + k)) + "</ul></body>"
+    rows = [(k, "http://deep.example/", deep(k)) for k in range(7)] + [(20 + k, "http://wide.example/", wide(k)) for k in range(7)]
+    rows += [(40, "http://deep.example/", "<div>" * 3000 + "<ul><li>x" * 500)]
+    got = {r.page_id: r.text for r in wrapper.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(8)).collect()}
+    assert all(got[k] == f"Deep {k}" for k in range(7)) and got[40].count("x") == 500
+    assert all(got[20 + k].startswith(f"Item (0, {k})\nItem (3, {k})\n") for k in range(7))
+
+
+def test_wrapper_finds_what_no_name_tells(spark):
+    """Adverts that take turns and menus without telling names go, on two layouts of a host; what varies stays."""
+    ads = [f"Buy number {k} now" for k in range(4)]
+    rows = []
+    for k in range(30):
+        top = f"<div class=x1>{ads[k % 4]}</div><div class=x2>Home - News - Contact</div>"
+        rows.append((k, "http://news.example/", f"<body>{top}<h1>Headline {k}</h1><article><p>Story {k}.</p></article><div class=x3>All rights reserved</div></body>"))
+        rows.append((100 + k, "http://news.example/", f"<body><table><tr><td>{ads[k % 3]}<td>Gallery</table><div class=g><p>Picture {k}</p></div>{top}</body>"))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in wrapper.main_text(df).collect()}
+    assert all(got[k] == f"Headline {k}\nStory {k}." and got[100 + k] == f"Picture {k}" for k in range(30))
+    alone = {r.page_id: r.text for r in wrapper.main_text(df, min_pages=10**9).collect()}
+    assert all(alone[k] == f"Story {k}." and alone[100 + k].startswith(ads[k % 3]) for k in range(30))
+
+
 # Decontamination ----------------------------------------------------------------------------------------------------------
 
 
@@ -349,8 +434,9 @@ def brute_leak(text, items, span=13, similarity=0.8, min_words=5):
     return out
 
 
-@pytest.mark.parametrize("slice_words", [2_000_000, 40])
+@pytest.mark.parametrize("slice_words", [2_000_000, 40, 3])
 def test_leaks_equal_brute_force(spark, slice_words):
+    """In one slice, in a few, and in over 50, each with at most one item or piece of one."""
     rng = random.Random(7)
     vocabulary = [f"v{k}" for k in range(60)]
     items = [(k, " ".join(rng.choice(vocabulary) for _ in range(rng.choice([3, 5, 8, 13, 20, 30])))) for k in range(12)] + [(77, None)]
@@ -367,6 +453,9 @@ def test_leaks_equal_brute_force(spark, slice_words):
         texts.append(" ".join(t))
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     got = decontam.find_leaks(docs_of(spark, [*texts, None]), benchmark, slice_words=slice_words).collect()
+    named = benchmark.selectExpr("concat('item ', item_id) AS item_id", "text")
+    by_name = decontam.find_leaks(docs_of(spark, [*texts, None]), named, slice_words=max(40, slice_words)).collect()
+    assert {r.doc_id: {f"item {i}" for i in r.item_ids} for r in got} == {r.doc_id: set(r.item_ids) for r in by_name}
     raw = [(i, (t or "").encode()) for i, t in items]
     for r in got:
         want = brute_leak((r.text or "").encode(), raw)
@@ -374,6 +463,27 @@ def test_leaks_equal_brute_force(spark, slice_words):
     assert sum(r.contaminated for r in got) > 5
 
 
+def test_large_items_and_one_index_at_a_time(spark, monkeypatch):
+    """Items beyond a slice are indexed in pieces; each index is given up before the next one is built."""
+    events, sizes = [], []
+    build, broadcast = decontam.SeedIndex.__init__, type(spark.sparkContext.broadcast(0))
+    destroy = broadcast.destroy
+
+    def counted(self, *args):
+        build(self, *args)
+        events.append("built")
+        sizes.append(sum(map(len, self.ids)))
+
+    monkeypatch.setattr(decontam.SeedIndex, "__init__", counted)
+    monkeypatch.setattr(broadcast, "destroy", lambda self, blocking=False: (events.append("gone"), destroy(self, blocking))[1])
+    rng = random.Random(1)
+    item = [f"v{rng.randrange(10_000)}" for _ in range(900)]
+    texts = [" ".join(item[k : k + 30]) for k in range(0, 870, 29)] + ["nothing of it here at all"]
+    got = decontam.find_leaks(docs_of(spark, texts), spark.createDataFrame([("long", " ".join(item))], "item_id string, text string"), slice_words=30).collect()
+    assert [r.contaminated for r in sorted(got, key=lambda r: r.doc_id)] == [True] * 30 + [False]
+    assert len(sizes) >= 30 and max(sizes) < 300 and events == ["built", "gone"] * len(sizes)
+
+
 def test_masks_lose_no_errors():
     for span, errors in ((13, 2), (5, 1), (9, 1), (6, 1)):
         groups, chosen = decontam.masks(span, errors)
@@ -440,6 +550,34 @@ def test_mix_totals_and_edges(spark, edges, no_rows):
     assert set(mixed.columns) == set(edges.columns) and mixing.mix_documents(no_rows).count() == 0 and mixing.mix_sources(no_rows).count() == 0
 
 
+def test_mixed_rows_keep_their_own_share(spark):
+    """Rows that share doc_id and size across sources, and rows that are equal in every column, against running sums."""
+    rng = random.Random(4)
+    rows = [(1, "a b c", "large", "x"), (1, "d e f", "small", "x")] + [(k, "w " * 50, "large", "y") for k in range(2, 12)]
+    rows += [(20 + k % 5, "v " * rng.randint(1, 9), rng.choice(["large", "small", None, "third"]), "z") for k in range(300)]
+    rows += [(50, "same words here", "third", "z")] * 7 + [(60, None, "large", "z"), (None, "no id", "third", "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, key string").repartition(4)
+    shares = {}
+    for r in mixing.mix_sources(df).collect():
+        shares.setdefault((str(r.doc_id), r.size, r.source_size), []).append(r.taken)
+    sizes = {}
+    for _, t, s, _ in rows:
+        sizes[s] = sizes.get(s, 0) + len((t or "").split())
+    got, total = {}, {}
+    for r in mixing.mix_documents(df).collect():
+        size = len(r.text.split())
+        got.setdefault((str(r.doc_id), size, sizes[r.source]), []).append(r.taken)
+        total[r.source] = total.get(r.source, 0) + r.taken
+        assert r.copies == -(-r.taken // size)
+    names = sorted(s for s in sizes if s is not None)
+    target = filled(sizes, {s: (1, 2, 3)[k % 3] for k, s in enumerate([*names, None])})
+    assert all(abs(total[s] - target[s]) <= 1 for s in sizes)
+    # Which of rows that share id and size is cut is free; where no row is cut, shares are those of the plain operator.
+    assert {k: sum(v) for k, v in got.items()}.keys() <= {k for k, v in shares.items() if sum(v)}
+    two = {(r.doc_id, r.source): r.taken for r in mixing.mix_documents(df.filter("doc_id < 12")).collect()}
+    assert two[1, "small"] == 9 and two.get((1, "large"), 0) <= 3 and abs(sum(v for (_, s), v in two.items() if s == "large") - 497) <= 1
+
+
 # Pipeline and queries ---------------------------------------------------------------------------------------------------
 
 
