@@ -77,18 +77,26 @@ KERNELS: dict[str, tuple[Callable, float]] = {
 
 
 @lru_cache(maxsize=256)
-def _taps(size: int, to: int, method: str) -> np.ndarray:
-    """(to, size) weights of one axis; a kernel is widened when an axis shrinks."""
+def _taps(size: int, to: int, method: str) -> tuple[np.ndarray, np.ndarray]:
+    """(taps, to) positions and weights of one axis; a kernel is widened when an axis shrinks. Unused taps weigh 0."""
     kernel, support = KERNELS[method]
     scale = size / to
     wide = max(scale, 1.0)
     centre = (np.arange(to) + 0.5) * scale
-    weights = np.zeros((to, size))
-    for k in range(to):
-        low, high = max(0, int(centre[k] - support * wide + 0.5)), min(size, int(centre[k] + support * wide + 0.5))
-        w = kernel((np.arange(low, high) - centre[k] + 0.5) / wide)
-        weights[k, low:high] = w / w.sum()
-    return weights
+    low = np.maximum(0, (centre - support * wide + 0.5).astype(int))
+    high = np.minimum(size, (centre + support * wide + 0.5).astype(int))
+    at = low + np.arange((high - low).max())[:, None]
+    weights = np.where(at < high, kernel((at - centre + 0.5) / wide), 0.0)
+    return np.minimum(at, size - 1), weights / weights.sum(0)
+
+
+def _resampled(image: np.ndarray, axis: int, to: int, method: str) -> np.ndarray:
+    """One pass along an axis, rounded to whole values of a byte: work grows with the taps, not with the image's size."""
+    at, weights = _taps(image.shape[axis], to, method)
+    shape = [1, 1, 1]
+    shape[axis] = to
+    total = sum(np.take(image, k, axis) * w.reshape(shape) for k, w in zip(at, weights, strict=True))
+    return np.clip(np.floor(total + 0.5), 0, 255)
 
 
 def resized(image: Image, width: int, height: int, method: str = "bicubic") -> Image:
@@ -102,9 +110,9 @@ def resized(image: Image, width: int, height: int, method: str = "bicubic") -> I
         return image[rows][:, columns]
     out = image.astype(float)
     if w != width:
-        out = np.clip(np.floor(np.einsum("yxc,kx->ykc", out, _taps(w, width, method)) + 0.5), 0, 255)
+        out = _resampled(out, 1, width, method)
     if h != height:
-        out = np.clip(np.floor(np.einsum("yxc,ky->kxc", out, _taps(h, height, method)) + 0.5), 0, 255)
+        out = _resampled(out, 0, height, method)
     return out.astype(np.uint8)
 
 

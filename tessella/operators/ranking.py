@@ -14,22 +14,31 @@ from pyspark.sql import functions as F
 SAMPLE_KEYS = 4096
 
 
-def dense_index(df: DataFrame, key: str, name: str = "idx", ranges: int = 32) -> DataFrame:
-    """``df`` with its 0-based rank by ``key``; equal keys get different ranks in no particular order."""
+def _range_of(key: Column, bounds: list, first: int = 0) -> Column:
+    """The number of bounds that a key reaches: a balanced tree of comparisons."""
+    if not bounds:
+        return F.lit(first)
+    mid = len(bounds) // 2
+    return F.when(key >= F.lit(bounds[mid]), _range_of(key, bounds[mid + 1 :], first + mid + 1)).otherwise(_range_of(key, bounds[:mid], first))
+
+
+def dense_index(df: DataFrame, key: str, name: str = "idx", range_rows: int = 500_000, most_ranges: int = 512) -> DataFrame:
+    """``df`` with its 0-based rank by ``key``; equal keys get different ranks in no particular order.
+
+    Ranges hold about ``range_rows`` rows, up to ``most_ranges`` ranges; beyond that they grow, and sorting them spills.
+    """
     rows = df.count()
+    ranges = max(32, min(most_ranges, rows // range_rows))
     every = max(1, rows // SAMPLE_KEYS)
     sampled = df.select(key).filter(F.pmod(F.xxhash64(key), F.lit(every)) == 0).distinct().limit(4 * SAMPLE_KEYS)
     keys = sorted(r[0] for r in sampled.collect() if r[0] is not None)
     bounds = sorted({keys[len(keys) * i // ranges] for i in range(1, ranges)}) if len(keys) >= ranges else []
-    part = F.lit(0)
-    for n, bound in enumerate(bounds, 1):
-        part = F.when(F.col(key) >= F.lit(bound), n).otherwise(part)
-    dealt = df.withColumn("_range", part)
+    dealt = df.withColumn("_range", _range_of(F.col(key), bounds))
     sizes = {r["_range"]: r["count"] for r in dealt.groupBy("_range").count().collect()}  # at most ``ranges`` rows
-    before, shift = 0, F.lit(0)
-    for n in range(len(bounds) + 1):
-        shift = F.when(F.col("_range") == n, before).otherwise(shift)
-        before += sizes.get(n, 0)
+    before = [0]
+    for n in range(len(bounds)):
+        before.append(before[-1] + sizes.get(n, 0))
+    shift = F.get(F.array(*[F.lit(n).cast("long") for n in before]), F.col("_range"))
     rank = F.row_number().over(Window.partitionBy("_range").orderBy(F.col(key).asc_nulls_first())) - 1
     return dealt.withColumn(name, (rank + shift).cast("long")).drop("_range")
 

@@ -22,7 +22,7 @@ COMMON: dict[str, Any] = {
     "batch_size": 1, "load_size": 286, "crop_size": 256, "max_dataset_size": INF,
     "preprocess": "resize_and_crop", "no_flip": False, "display_winsize": 256,
     "epoch": "latest", "load_iter": 0, "verbose": False, "suffix": "",
-    "use_wandb": False,
+    "use_wandb": False, "wandb_project_name": "image-translation",
 }
 TRAIN: dict[str, Any] = {
     "display_freq": 400, "update_html_freq": 1000, "print_freq": 100, "no_html": False,

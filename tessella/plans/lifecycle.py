@@ -6,9 +6,14 @@ with a registered model; an evaluation takes predicted label maps.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import pixels
 from ..functions.schedules import learning_rates
 from ..operators import confusion
 from ..operators.epochs import batched, counters, epoch_order, sharded, triggers
@@ -49,11 +54,31 @@ def training_rates(spark: SparkSession, config: Config) -> DataFrame:
 
 
 def test_samples(spark: SparkSession, config: Config) -> DataFrame:
-    """The first samples of a test run's dataset mode, with what a test run fixes."""
+    """The first samples of a test run's dataset mode, with what a test run fixes; the built-in modes decode only these."""
     fixed = test_run(config)
+    fixed = replace(fixed, extra=fixed.extra | {"first": fixed.num_test})
     return first_samples(registry.dataset(fixed.dataset_mode)(spark, fixed), fixed.num_test)
 
 
+def write_pairs(a: DataFrame, b: DataFrame, folder: str) -> None:
+    """Writes the images of two tables of image rows with a ``name`` side by side, as {folder}/{name}; both sides need the same height."""
+
+    def beside(batches):
+        for batch in batches:
+            columns = [batch.column(k).to_pylist() for k in range(9)]
+            out = []
+            for row in zip(*columns, strict=True):
+                left, right = (np.frombuffer(row[k + 3], np.uint8).reshape(row[k + 1], row[k], row[k + 2]) for k in (1, 5))
+                out.append((row[0], pixels.beside(left, right)))
+            arrays = [[n for n, _ in out], [x.shape[1] for _, x in out], [x.shape[0] for _, x in out], [x.shape[2] for _, x in out], [x.tobytes() for _, x in out]]
+            kinds = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(arrays, kinds, strict=True)], ["name", "width", "height", "n_channels", "pixels"])
+
+    side = lambda df, k: df.select("name", *[F.col(c).alias(f"{k}_{c}") for c in ("width", "height", "n_channels", "pixels")])
+    both = side(a, "a").join(side(b, "b"), "name")
+    sinks.write_files(sinks.encoded(both.mapInArrow(beside, "name string, width int, height int, n_channels int, pixels binary")), folder)
+
+
 def test_report(spark: SparkSession, config: Config, visuals: DataFrame) -> str:
     """Writes images and report of (idx, name, k, label, width, height, n_channels, pixels) rows; returns the folder."""
     folder = results_folder(config)
@@ -72,6 +97,6 @@ def evaluate(truth: DataFrame, predictions: DataFrame, classes: list[str], stric
     """
     missing = F.raise_error(F.concat(F.lit("no prediction for "), F.col("frame").cast("string"))).cast("int")
     both = truth.join(predictions, ["frame", "y", "x"], "left")
-    pixels = both.select("frame", F.col("label").alias("gt"), F.coalesce("pred", missing).alias("pred"))
-    counts = confusion.accumulate(confusion.frame_confusion(pixels, len(classes), strict=strict))
+    matched = both.select("frame", F.col("label").alias("gt"), F.coalesce("pred", missing).alias("pred"))
+    counts = confusion.accumulate(confusion.frame_confusion(matched, len(classes), strict=strict))
     return confusion.scores(counts, len(classes)), confusion.report_lines(counts, classes)

@@ -327,14 +327,6 @@ def _grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("vec_id", F.floor(F.col("p") / 8).cast("int").alias("y"), (F.col("p") % 8).alias("x"), v.alias("v"))
 
 
-@query(f"SELECT vec_id, CASE WHEN x < 3 THEN 'A' ELSE 'B' END AS side, y, CASE WHEN x < 3 THEN x ELSE x - 3 END AS x, v FROM {GRID} WHERE x < 7")
-def p1_split_pair(spark, sf_dir):
-    """Images of width 7: the left half takes 3 columns."""
-    half, left = 7 // 2, F.col("x") < 7 // 2
-    rows = _grid(spark, sf_dir).filter("x < 7")
-    return rows.select("vec_id", F.when(left, "A").otherwise("B").alias("side"), "y", F.when(left, F.col("x")).otherwise(F.col("x") - half).alias("x"), "v")
-
-
 @query("SELECT p_partkey, p_size, CASE WHEN p_size = 20 AND p_size + 5 >= 16 THEN p_size ELSE 20 END AS width, CASE WHEN p_size = 20 AND p_size + 5 >= 16 THEN p_size + 5 ELSE floor(greatest(20 * (p_size + 5) / p_size, 16.0))::INT END AS height FROM part")
 def p6_scaled_size(spark, sf_dir):
     part = table(spark, sf_dir, "part").select("p_partkey", "p_size")
@@ -346,11 +338,6 @@ def p7_multiple_of_four(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", "p_size", S.multiple_of_four(F.col("p_size")).alias("size"))
 
 
-@query(f"SELECT vec_id, y, 7 - x AS x, v FROM {GRID} WHERE vec_id % 2 = 0 UNION ALL SELECT vec_id, y, x, v FROM {GRID} WHERE vec_id % 2 = 1")
-def p10_flip(spark, sf_dir):
-    return _grid(spark, sf_dir).withColumn("x", F.when(F.col("vec_id") % 2 == 0, 7 - F.col("x")).otherwise(F.col("x")))
-
-
 @query(elements_sql("SELECT vec_id, list_transform(embedding, lambda f: ((floor((f::DOUBLE + 1) * 127.5)::INT::FLOAT / 255::FLOAT)::FLOAT - 0.5::FLOAT) / 0.5::FLOAT) AS tensor FROM embeddings", "vec_id", "tensor", "v", "DOUBLE", 64))
 def p11_normalise(spark, sf_dir):
     scaled = F.transform("embedding", lambda f: F.floor((f.cast("double") + 1) * 127.5).cast("int"))
@@ -369,20 +356,6 @@ def p16_bgr_minus_mean(spark, sf_dir):
     return elements(bgr, "p_partkey", "bgr", "v", "double")
 
 
-@query(
-    f"""
-WITH a AS (SELECT * FROM {GRID} WHERE vec_id % 2 = 0), b AS (SELECT * FROM {GRID} WHERE vec_id % 2 = 1)
-SELECT vec_id, y, x, v FROM a WHERE vec_id + 1 IN (SELECT vec_id FROM embeddings)
-UNION ALL SELECT vec_id - 1, y, x + 8, v FROM b WHERE vec_id - 1 IN (SELECT vec_id FROM embeddings)"""
-)
-def p19_side_by_side(spark, sf_dir):
-    """Pairs of images, even and next odd id, side by side: pixels of the right one shift by the left one's width."""
-    grid, ids = _grid(spark, sf_dir), table(spark, sf_dir, "embeddings").select("vec_id")
-    left = grid.filter("vec_id % 2 = 0").join(ids.select((F.col("vec_id") - 1).alias("vec_id")), "vec_id", "left_semi")
-    right = grid.filter("vec_id % 2 = 1").join(ids.select((F.col("vec_id") + 1).alias("vec_id")), "vec_id", "left_semi")
-    return left.unionByName(right.select((F.col("vec_id") - 1).alias("vec_id"), "y", (F.col("x") + 8).alias("x"), "v"))
-
-
 @query(elements_sql("SELECT vec_id, CASE label WHEN 0 THEN [128, 64, 128] WHEN 1 THEN [244, 35, 232] WHEN 8 THEN [107, 142, 35] ELSE [0, 0, 0] END AS colour FROM embeddings", "vec_id", "colour", "v", "INT", 3))
 def p22_palette(spark, sf_dir):
     palette = {0: (128, 64, 128), 1: (244, 35, 232), 8: (107, 142, 35)}
@@ -459,6 +432,25 @@ def p8_padded_crop(spark, sf_dir):
     return _channels(pixels.over_images(_images(spark, sf_dir), lambda image, _: pixels.cut(image, 4, 1, 6)))
 
 
+@query(f"SELECT vec_id, CASE WHEN x < 4 THEN 'A' ELSE 'B' END AS side, y, x % 4 AS x, c::INT AS c, CASE c WHEN 0 THEN r WHEN 1 THEN g ELSE b END::INT AS v FROM {RGB}, range(3) t(c)")
+def p1_split_pair(spark, sf_dir):
+    halves = [_channels(pixels.over_images(_images(spark, sf_dir), lambda image, _, k=k: pixels.split_pair(image)[k])) for k in (0, 1)]
+    a, b = (half.withColumn("side", F.lit(name)) for half, name in zip(halves, "AB", strict=True))
+    return a.unionByName(b).select("vec_id", "side", "y", "x", "c", "v")
+
+
+@query(f"SELECT vec_id, y, CASE WHEN vec_id % 2 = 0 THEN 7 - x ELSE x END AS x, c::INT AS c, CASE c WHEN 0 THEN r WHEN 1 THEN g ELSE b END::INT AS v FROM {RGB}, range(3) t(c)")
+def p10_flip(spark, sf_dir):
+    rows = _images(spark, sf_dir).withColumn("flip", F.col("vec_id") % 2 == 0)
+    return _channels(pixels.over_images(rows, lambda image, row: pixels.mirrored(image) if row["flip"] else image, ("flip",)))
+
+
+@query(f"SELECT vec_id, y, x + 8 * k::INT AS x, c::INT AS c, CASE c WHEN 0 THEN r WHEN 1 THEN g ELSE b END::INT AS v FROM (SELECT vec_id, y, x, k, CASE k WHEN 0 THEN r ELSE 255 - r END AS r, CASE k WHEN 0 THEN g ELSE 255 - g END AS g, CASE k WHEN 0 THEN b ELSE 255 - b END AS b FROM {RGB}, range(2) s(k)), range(3) t(c)")
+def p19_side_by_side(spark, sf_dir):
+    """Each image beside its negative."""
+    return _channels(pixels.over_images(_images(spark, sf_dir), lambda image, _: pixels.beside(image, 255 - image)))
+
+
 LAB_SQL = f"""
 WITH s AS (SELECT vec_id, y, x, r / 255 AS r, g / 255 AS g, b / 255 AS b FROM {RGB}),
 l AS (SELECT vec_id, y, x, CASE WHEN r > 0.04045 THEN pow((r + 0.055) / 1.055, 2.4) ELSE r / 12.92 END AS r,
@@ -720,8 +712,10 @@ def m2_epoch_reset(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
+    from . import query_folders  # noqa: F401  (registers its queries)
+
     return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_sql)
+    return {name: _sql[name] for name in queries() if name in _sql}

@@ -7,6 +7,7 @@ parsed here. A file that cannot be decoded raises instead of vanishing.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -52,19 +53,32 @@ def _from_ppm(batches):
         yield _batch([_row(p, parse_ppm(c)) for p, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)])
 
 
-def read_images(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
-    """All images below a root, decoded."""
+def read_images(spark: SparkSession, root: str | list[str], recursive: bool = True) -> DataFrame:
+    """All images below a root, or those of a list of paths, decoded."""
     look = str(recursive).lower()
-    common = spark.read.format("image").option("recursiveFileLookup", look).option("pathGlobFilter", "*.{jpg,JPG,jpeg,JPEG,png,PNG,bmp,BMP,tif,TIF,tiff,TIFF}").load(root)
-    parts = common.select("image.origin", "image.width", "image.height", "image.nChannels", "image.data")
-    ppm = spark.read.format("binaryFile").option("recursiveFileLookup", look).option("pathGlobFilter", "*.{ppm,PPM}").load(root).select("path", "content")
-    both = parts.mapInArrow(_from_source, ROW).unionByName(ppm.mapInArrow(_from_ppm, ROW))
+    names = "*.{jpg,JPG,jpeg,JPEG,png,PNG,bmp,BMP,tif,TIF,tiff,TIFF}"
+    is_ppm = lambda path: path.endswith((".ppm", ".PPM"))
+    common = root if isinstance(root, str) else [p for p in root if not is_ppm(p)]
+    ppm = root if isinstance(root, str) else [p for p in root if is_ppm(p)]
+    parts = []
+    if common:
+        found = spark.read.format("image").option("recursiveFileLookup", look).option("pathGlobFilter", names).load(common)
+        parts.append(found.select("image.origin", "image.width", "image.height", "image.nChannels", "image.data").mapInArrow(_from_source, ROW))
+    if ppm:
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", look).option("pathGlobFilter", "*.{ppm,PPM}").load(ppm)
+        parts.append(found.select("path", "content").mapInArrow(_from_ppm, ROW))
+    both = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], ROW)
     return both.withColumn("path", F.regexp_replace("path", "^file:/+", "file:/"))  # as listings spell it
 
 
-def decoded(listing: DataFrame, images: DataFrame) -> DataFrame:
-    """A (possibly cut and paired) listing with its images; what is not listed is not carried on."""
-    return listing.join(images, "path")
+def decoded(spark: SparkSession, listing: DataFrame, root: str, by_name: int = 10_000) -> DataFrame:
+    """A (possibly cut and paired) listing with its images. Of at most ``by_name`` listed files only these are opened, by name, and
+    pixels are not shuffled; a longer list is joined to all images below its root."""
+    paths = [r.path for r in listing.select("path").distinct().limit(by_name + 1).collect()]
+    if len(paths) > by_name:
+        return listing.join(read_images(spark, root), "path")
+    literal = [re.sub(r"([\\\[\]{}*?])", r"\\\1", p) for p in paths]
+    return read_images(spark, literal).join(F.broadcast(listing), "path").select(*listing.columns, "width", "height", "n_channels", "pixels")
 
 
 def labels(images: DataFrame, mapping: dict[int, int] | None = None) -> DataFrame:

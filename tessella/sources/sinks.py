@@ -45,12 +45,21 @@ def encoded(images: DataFrame, name: str = "name", ratio: float = 1.0) -> DataFr
 
 
 def write_files(files: DataFrame, folder: str) -> None:
-    """Writes (name, content) rows as files below a folder URI, from the executors."""
+    """Writes (name, content) rows as files below a folder, from the executors.
+
+    A path without a scheme belongs to the session's default file system, as for Spark's own writers; a folder of the local one
+    must be shared by the executors.
+    """
+    spark = files.sparkSession
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    full = where.makeQualified(system.getUri(), system.getWorkingDirectory()).toString()
 
     def write(rows):
         from pyarrow import fs
 
-        system, base = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
+        local = full.startswith("file:")
+        system, base = (fs.LocalFileSystem(), full.removeprefix("file:")) if local else fs.FileSystem.from_uri(full)
         system.create_dir(base, recursive=True)
         for r in rows:
             with system.open_output_stream(f"{base}/{r['name']}") as f:
@@ -97,5 +106,11 @@ def log_lines(records: DataFrame) -> DataFrame:
     return rows.select("value")
 
 
+def start_log(spark: SparkSession, folder: str, now: datetime) -> None:
+    """Writes the header with which a run's log begins."""
+    spark.createDataFrame([(log_header(now),)], "value string").coalesce(1).write.mode("append").text(folder)
+
+
 def append_log(records: DataFrame, folder: str) -> None:
+    """Appends a log's lines; ``start_log`` comes first."""
     log_lines(records.orderBy("epoch", "iters")).write.mode("append").text(folder)

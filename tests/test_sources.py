@@ -117,6 +117,44 @@ def test_other_modes(spark, tmp_path):
     assert len(lab.light) == 16 and len(lab.colour) == 32
 
 
+@pytest.mark.parametrize("mode", ["aligned", "unaligned", "single", "template"])
+def test_samples_are_tensors_with_draws(spark, tmp_path, mode):
+    """Gray by the channels of each domain, as the direction has them; normalised tensors; only listed files are opened."""
+    shape = (8, 16) if mode == "aligned" else (8, 8)
+    for k in range(4):
+        for folder in ("train", "trainA", "trainB"):
+            write(tmp_path / folder / f"{k}.png", sinks.png(picture(10 * k + len(folder), *shape)))
+    for folder in ("train", "trainA", "trainB"):
+        write(tmp_path / folder / "9.png", b"not an image")
+    root = str(tmp_path / "train") if mode in ("single", "template") else str(tmp_path)
+    for direction in ("AtoB", "BtoA"):
+        given = {"dataroot": root, "dataset_mode": mode, "load_size": 8, "crop_size": 4, "preprocess": "crop", "input_nc": 1, "max_dataset_size": 4, "serial_batches": True, "direction": direction}
+        rows = registry.dataset(mode)(spark, resolve(given)).orderBy("idx").collect()
+        assert len(rows) == 4
+        sides = [r[x] for r in rows for x in ("a", "b", "data_a", "data_b") if x in r]
+        assert all(len(s.tensor) == 16 * s.n_channels and (s.width, s.height) == (4, 4) and 0 <= s.crop_x <= 4 and 0 <= s.crop_y <= 4 for s in sides)
+        assert all(np.allclose(np.frombuffer(s.pixels, np.uint8).reshape(4, 4, -1).transpose(2, 0, 1).ravel() / 127.5 - 1, s.tensor, atol=1e-6) for s in sides)
+        # Domain A has the channels of the input, or going back those of the output.
+        gray = {name: {r[name].n_channels for r in rows} for name in rows[0].asDict() if name in ("a", "b", "data_a", "data_b")}
+        first, second = ({1}, {3}) if direction == "AtoB" or mode == "aligned" else ({3}, {1})
+        assert gray == {"aligned": {"a": first, "b": second}, "unaligned": {"a": first, "b": second}, "single": {"a": first}, "template": {"data_a": first, "data_b": second}}[mode]
+    if mode == "aligned":
+        for r in rows:
+            both = picture(10 * r.idx + 5, 8, 16)
+            left = both[:, :8][r.b.crop_y : r.b.crop_y + 4, r.b.crop_x : r.b.crop_x + 4]
+            assert (r.a.crop_x, r.a.crop_y, r.a.flip) == (r.b.crop_x, r.b.crop_y, r.b.flip)
+            assert bytes(r.b.pixels) == (left[:, ::-1] if r.b.flip else left).tobytes()
+
+
+def test_pairs_are_written(spark, tmp_path):
+    from tessella.plans import lifecycle
+
+    rows = [spark.createDataFrame([(f"{k}.png", 8, 6, 3, bytearray(picture(k + side).tobytes())) for k in range(3)], "name string, width int, height int, n_channels int, pixels binary") for side in (0, 50)]
+    lifecycle.write_pairs(*rows, str(tmp_path / "pairs"))
+    back = {r.path.rsplit("/")[-1]: r for r in images.read_images(spark, str(tmp_path / "pairs")).collect()}
+    assert all(bytes(back[f"{k}.png"].pixels) == np.concatenate([picture(k), picture(k + 50)], axis=1).tobytes() for k in range(3))
+
+
 def test_layers():
     config = resolve({"dataroot": "d", "model": "paired"})
     assert (config.norm, config.netG, config.dataset_mode, config.pool_size, config.gan_mode, config.lambda_L1) == ("batch", "unet_256", "aligned", 0, "vanilla", 100.0)
