@@ -8,7 +8,8 @@ all text would have to be merged over machines, so the strings are first narrowe
    anchor occurrence goes with its context, the bytes of the windows it is the anchor of; texts send one 32-byte row for
    each (about every 75 bytes), copies of a text only once.
 2. *Equal contexts* of an anchor are repeated as a whole. Anchors whose contexts differ are left: near copies, and the
-   ends of repeated passages. For these, one text for each distinct context is read again.
+   ends of repeated passages. For these, one text for each distinct context is read again. Places that a task itself finds to
+   be repeated are merged to byte intervals before they leave it, so a long run of one character is a few rows.
 3. *Suffix arrays.* Contexts of an anchor are cut into blocks of ``block`` bytes that line up at the anchor; over the
    blocks, the linear grouping construction sorts all suffixes of many contexts at once. Neighbours in the suffix array
    that share window / block - 2 or so blocks form classes, within which windows can only differ at both edges, by less
@@ -34,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, slices, text_bytes
+from .common import Scratch, few, slices, text_bytes
 from .grouping_sa import suffix_array
 
 U64 = np.uint64
@@ -84,9 +85,8 @@ def _sliding_min(a: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[:m], ahead[width - 1 : width - 1 + m])
 
 
-def anchors(text: bytes, window: int, seed: int):
-    """Anchor occurrences of a text: (key, context hash, position, first and last start of its windows)."""
-    out = []
+def anchors_by_segment(text: bytes, window: int, seed: int):
+    """Anchor occurrences of each segment of a text: (key, context hash, position, first and last start of its windows)."""
     for at in range(0, max(1, len(text) - window + 1), SEGMENT):
         part = text[at : at + SEGMENT + window - 1] if len(text) > SEGMENT else text
         if len(part) < window:
@@ -100,10 +100,11 @@ def anchors(text: bytes, window: int, seed: int):
         last = np.append(first[1:], len(chosen)) - 1
         pos = chosen[first]
         context = _mix(h.of(first, last + window) ^ _mix(((pos - first) * 4096 + (last - first) + 11).astype(U64)))
-        out.append((_mix(keys[pos]), context, pos + at, first + at, last + at))
-    if not out:
-        return None
-    return [np.concatenate(x) for x in zip(*out, strict=True)]
+        yield _mix(keys[pos]), context, pos + at, first + at, last + at
+
+
+def anchors(text: bytes, window: int, seed: int) -> list[np.ndarray]:
+    return [np.concatenate(x) for x in zip(*anchors_by_segment(text, window, seed), strict=True)]
 
 
 def pack(pos, first, last):
@@ -181,11 +182,22 @@ def _batch(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v) if isinstance(v, np.ndarray) else v for v in columns.values()], list(columns))
 
 
+def merged(dk: np.ndarray, packs: np.ndarray, window: int):
+    """The bytes of windows as disjoint intervals, by text: (index of the first row of each interval, where it ends)."""
+    _, first, last = unpack(packs)
+    texts = np.unique(dk, return_inverse=True)[1].astype(np.int64) << 40  # texts one after the other, each far from the next
+    order = np.argsort(texts + first, kind="stable")
+    start, end = (texts + first)[order], np.maximum.accumulate((texts + last + window)[order])
+    new = np.flatnonzero(np.concatenate([[True], start[1:] > end[:-1]]))
+    return order[new], (end - texts[order])[np.append(new[1:], len(order)) - 1]
+
+
 def _anchor_rows(window: int, seed: int):
-    """(key, ctx, dk, pack, known) of all anchors, pre-aggregated.
+    """(key, ctx, dk, pack, known, more) of all anchors, pre-aggregated.
 
     Places of the same context that a task sees together are repeated for sure: the first of them stands for all where
-    the key is looked up, and the others go on under a key of their own, marked as known, so that they don't pile up.
+    the key is looked up. The others are settled: merged to intervals, the windows of ``pack`` and ``more`` bytes after them,
+    they go on under a key of their own, marked as known, so that they don't pile up.
     """
 
     def flush(rows):
@@ -194,23 +206,31 @@ def _anchor_rows(window: int, seed: int):
         key, ctx, dk, packs = key[order], ctx[order], dk[order], packs[order]
         new = np.concatenate([[True], (key[1:] != key[:-1]) | (ctx[1:] != ctx[:-1])])
         known = ~new | ~np.append(new[1:], True)
-        own = _mix(dk.view(U64) ^ _mix(packs.astype(U64) + U64(BASE))).view(np.int64)
-        return _batch(key=np.where(new, key, own), ctx=ctx, dk=dk, pack=packs, known=known)
+        more = np.zeros(len(key), np.int64)
+        if not new.all():
+            later = np.flatnonzero(~new)
+            kept, ends = merged(dk[later], packs[later], window)
+            kept = later[kept]
+            more[kept] = ends - unpack(packs[kept])[2] - window
+            key[kept] = _mix(dk[kept].view(U64) ^ _mix(packs[kept].astype(U64) + U64(BASE))).view(np.int64)
+            stay = np.sort(np.concatenate([np.flatnonzero(new), kept]))
+            key, ctx, dk, packs, known, more = (x[stay] for x in (key, ctx, dk, packs, known, more))
+        return _batch(key=key, ctx=ctx, dk=dk, pack=packs, known=known, more=more)
 
     def run(batches):
         done: set[int] = set()
         rows, total = [], 0
         for b in slices(batches):
             for dk, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                found = anchors(text, window, seed) if dk not in done else None
+                if dk in done:
+                    continue
                 done.add(dk)
-                if found is not None:
-                    key, context, *where = found
+                for key, context, *where in anchors_by_segment(text, window, seed):
                     rows.append((key.view(np.int64), context.view(np.int64), np.full(len(key), dk), pack(*where)))
                     total += len(key)
-                if total > ANCHORS_AT_ONCE:
-                    yield flush(rows)
-                    rows, total = [], 0
+                    if total > ANCHORS_AT_ONCE:
+                        yield flush(rows)
+                        rows, total = [], 0
         if rows:
             yield flush(rows)
 
@@ -280,7 +300,7 @@ def repeats(docs: DataFrame, window: int = 200, seed: int = 48, block: int = 19,
         raise ValueError("window - seed must be a multiple of block and below 256")
     scratch = Scratch(docs.sparkSession)
     texts = docs.select(F.xxhash64("text").alias("dk"), text_bytes().alias("t"))
-    rows = texts.filter(F.length("t") >= window).mapInArrow(_anchor_rows(window, seed), "key long, ctx long, dk long, pack long, known boolean")
+    rows = texts.filter(F.length("t") >= window).mapInArrow(_anchor_rows(window, seed), "key long, ctx long, dk long, pack long, known boolean, more long")
     by_context = Window.partitionBy("key", "ctx").orderBy("dk", "pack")
     whole = by_context.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     by_key = Window.partitionBy("key")
@@ -294,14 +314,15 @@ def repeats(docs: DataFrame, window: int = 200, seed: int = 48, block: int = 19,
         .withColumn("open", F.max((~F.col("again")).cast("int")).over(by_key) == 1)
         .filter("again OR contexts > 1")
         .withColumn("ask", F.col("lead") & F.col("open") & (F.col("contexts") > 1))
-        .select("key", "dk", "pack", "again", "ask", (F.col("contexts") > hot_contexts).alias("hot"))
+        .select("key", "dk", "pack", "more", "again", "ask", (F.col("contexts") > hot_contexts).alias("hot"))
     )
     shared = scratch.table(classed)
     pos = F.shiftright("pack", 16)
     first, last = pos - F.shiftright("pack", 8).bitwiseAND(255), pos - F.col("pack").bitwiseAND(255)
-    equal = shared.filter("again").select("dk", first.alias("s"), (last + window).alias("e"))
+    equal = shared.filter("again").select("dk", first.alias("s"), (last + window + F.col("more")).alias("e"))
     asked = shared.filter("ask").groupBy("dk").agg(F.collect_list(F.struct("key", "pack", "hot")).alias("found"))
-    one_text = texts.groupBy("dk").agg(F.first("t").alias("t"))
+    asked = scratch.table(asked)
+    one_text = texts.join(few(asked.select("dk")), "dk", "left_semi").groupBy("dk").agg(F.first("t").alias("t"))
     contexts = asked.join(one_text, "dk").select("dk", "t", "found").mapInArrow(_context_rows(window), "key long, dk long, pack long, context binary")
     contexts = scratch.table(contexts)
     usual = contexts.filter("context IS NOT NULL").repartition("key").sortWithinPartitions("key")

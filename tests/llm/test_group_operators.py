@@ -177,6 +177,18 @@ def test_repeats_equal_brute_force(spark, alphabet, hot):
     assert got == suffix_dedup.brute_force([(t or "").encode() for t in texts], 20) and sum(r[1] > 0 for r in got) > 5
 
 
+def test_periodic_texts_are_few_rows(spark):
+    """Long runs of one character or of a short period: right, and settled within their task."""
+    rng = random.Random(6)
+    noise = "".join(rng.choice("abcdefgh") for _ in range(300))
+    texts = ["-" * 5000, noise + "=" * 900 + noise[:100], "ab" * 2000 + noise[50:], "xyz" * 700, "-" * 250 + "." * 150, noise[:199]]
+    got = [tuple(r)[1:] for r in suffix_dedup.digest(suffix_dedup.remove_repeats(docs_of(spark, texts, 2))).orderBy("doc_id").collect()]
+    assert got == suffix_dedup.brute_force([t.encode() for t in texts], 200)
+    long = [b"-" * 3_000_000, b"ab" * 1_000_000]
+    batch = suffix_dedup._batch(dk=np.array([1, 2]), t=suffix_dedup.pa.array(long))
+    assert sum(b.num_rows for b in suffix_dedup._anchor_rows(200, 48)([batch])) < 200
+
+
 def test_long_texts_in_segments(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "SEGMENT", 50)
     rng = random.Random(8)
