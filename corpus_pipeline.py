@@ -4,6 +4,11 @@
 leaves them. All but the last return the columns of documents; the last adds ``taken`` (words the mix takes) and
 ``copies`` (times the document is begun). ``run`` applies them to the documents table, each stage's result written as
 Parquet to the shared folder and read again.
+
+Defined results: an empty table gives an empty one at every stage. Null and empty texts are judged like any other by the
+classifier; they have no lines to lose, are near duplicates of each other, leak nothing, and the mix, which takes words, leaves
+them out. Rows with a null doc_id are never near duplicates and stay; of rows that repeat doc_id and text one is left by the
+near-duplicate stage. Further columns pass through all stages, whatever their names, but for ``taken`` and ``copies``.
 """
 
 from __future__ import annotations
@@ -30,7 +35,11 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: Jaccard similarity of five-word shingles from 0.8 on, or 3 bits of 64."""
+    """One document of each group of near duplicates: Jaccard similarity of five-word shingles from 0.8 on, or 3 bits of 64.
+
+    Fingerprints of such texts differ in 10 bits on average, too many for blocks alone (see README), so the shingles that a
+    similar pair must share serve as blocks, and SimHashes of the sets are compared before the texts are.
+    """
     return simhash.one_of_each(docs, shingle=5, similarity=0.8)
 
 

@@ -35,9 +35,11 @@ ROW = "name string, width int, height int, n_channels int, pixels binary"
 
 
 def _folder(spark: SparkSession) -> str:
-    """A new folder that is deleted in the end; where no shared one is configured (tests), a temporary one."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.gettempdir()
-    path = f"{shared.rstrip('/')}/tessella/{uuid.uuid4().hex}"
+    """A new folder that is deleted in the end; in local mode (tests), a temporary one does where no shared one is configured."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    path = f"{(shared or tempfile.gettempdir()).rstrip('/')}/tessella/{uuid.uuid4().hex}"
     atexit.register(_delete, spark, path)
     return path
 
