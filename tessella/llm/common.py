@@ -52,8 +52,10 @@ def few(keys: DataFrame) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; only where none is configured (tests), a temporary one is set."""
+    """The folder that driver and executors share; only in local mode (tests), a temporary one does where none is configured."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not path and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     return (path or _own_dir()).rstrip("/")
 
 

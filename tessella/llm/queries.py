@@ -60,8 +60,19 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def rule_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of op4 SQL can express."""
+    return op4_quality_rules(spark, sf_dir).drop("kept", "quality")
+
+
+def token_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of op7 SQL can express."""
+    found = op7_hmm_score(spark, sf_dir).drop("score")
+    return found.withColumn("base_score", F.round("base_score", 4) + 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_line_dedup, op2_secrets, op3_quality_ranking, op4_quality_rules, op5_simhash, op6_suffix_dedup, op7_hmm_score, op8_main_text, op9_decontaminate, op10_mix_sources)
+    named = (op1_line_dedup, op2_secrets, op3_quality_ranking, op4_quality_rules, op5_simhash, op6_suffix_dedup, op7_hmm_score, op8_main_text, op9_decontaminate, op10_mix_sources, rule_counts, token_scores)
     return {f.__name__: f for f in named}
 
 
@@ -71,4 +82,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_suffix_dedup": sql.SUFFIX_DEDUP,
         "op9_decontaminate": sql.DECONTAMINATION,
         "op10_mix_sources": mixing.ORACLE_SQL,
+        "rule_counts": sql.RULE_COUNTS,
+        "token_scores": sql.TOKEN_SCORES,
     }

@@ -84,3 +84,37 @@ by_doc AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ','
 SELECT doc_id, n_items IS NOT NULL AS contaminated, coalesce(n_items, 0) AS n_items, coalesce(item_ids, '') AS item_ids
 FROM documents LEFT JOIN by_doc USING (doc_id)
 """
+
+#: The counts of the quality rules and the base verdict.
+RULE_COUNTS = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM documents),
+windows AS (SELECT doc_id, p, array_to_string(w[p + 1 : p + 5], ' ') AS v FROM (SELECT doc_id, w, unnest(range(len(w) - 4)) AS p FROM w WHERE len(w) >= 5)),
+twice AS (SELECT doc_id, v FROM windows GROUP BY doc_id, v HAVING count(*) > 1),
+covered AS (SELECT doc_id, count(DISTINCT p + k) AS n FROM windows SEMI JOIN twice USING (doc_id, v), range(5) r(k) GROUP BY doc_id),
+counts AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
+         coalesce(n, 0)::BIGINT AS n_repeat_words
+  FROM w LEFT JOIN covered USING (doc_id))
+SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counts
+"""
+
+#: Token counts, the hold-out rule (CRC-32 of the id's digits, bit by bit) and base scores of the language model.
+TOKEN_SCORES = r"""
+WITH tokens AS (
+  SELECT doc_id, list_reduce(list_prepend(4294967295, list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: unicode(substr(doc_id::VARCHAR, i::INT, 1))::BIGINT)),
+           lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda c, _: xor(c >> 1, 3988292384 * (c & 1)))) AS crc,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+docs AS (SELECT doc_id, xor(crc, 4294967295) % 10 = 0 AS held_out, w, len(w) + 1 AS n_tokens FROM tokens),
+counts AS (SELECT x, count(*) AS c FROM (SELECT unnest(w) AS x FROM docs WHERE NOT held_out) GROUP BY x),
+ends AS (SELECT count(*) AS c FROM docs WHERE NOT held_out),
+totals AS (SELECT coalesce((SELECT sum(c) FROM counts), 0) + c AS n, (SELECT count(*) FROM counts) + (c > 0)::INT AS v FROM ends),
+of_words AS (
+  SELECT doc_id, count(*) FILTER (c IS NOT NULL) AS known, sum(log10((coalesce(c, 0) + 0.1::DOUBLE) / (n + 0.1::DOUBLE * (v + 1)))) AS score
+  FROM (SELECT doc_id, unnest(w) AS x FROM docs) LEFT JOIN counts USING (x), totals GROUP BY doc_id)
+SELECT doc_id, held_out, n_tokens::BIGINT AS n_tokens, (coalesce(known, 0) + (c > 0)::INT)::BIGINT AS n_known, n::BIGINT AS train_tokens,
+       round(coalesce(score, 0) + log10((c + 0.1::DOUBLE) / (n + 0.1::DOUBLE * (v + 1))), 4) + 0 AS base_score
+FROM docs LEFT JOIN of_words USING (doc_id), ends, totals
+"""
