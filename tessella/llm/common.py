@@ -17,7 +17,7 @@ SPACES = r"[\x20\x09-\x0D]+"
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 #: Keys of a join that are broadcast at most.
-BROADCAST_KEYS = 1_000_000
+BROADCAST_KEYS = 250_000
 
 
 def words(text: bytes) -> list[bytes]:

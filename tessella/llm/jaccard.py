@@ -2,9 +2,11 @@
 
 Of two such sets, each of n shingles in one common order, the first n - ceil(similarity * n) + 1 of each share a shingle. So
 these prefixes are emitted as tokens, and texts that share one are candidates. The order puts shingles that are common in a
-sample of the texts last: the sample decides what the search costs, not what it finds. A candidate pair must fit in size and
-its sets' 64-bit SimHashes must differ in at most FAR bits (sets of similarity 0.8 differ in 10 on average, with a
-deviation of 3); what is left is verified on the texts.
+sample of the texts last: the sample decides what the search costs, not what it finds. Before texts are compared, a candidate
+pair must fit in size; bitmaps of 128 bits, the parities of the shingles that fall on each bit, may differ in no more bits than
+similar sets have shingles that are not in both, which is exact and tells short texts apart; and 64-bit SimHashes of the
+sets may differ in at most FAR bits (sets of similarity 0.8 differ in 10 on average, with a deviation of 3), which tells long ones
+apart.
 
 Groups of near copies are not paired up. First every text is compared with one leader of each of its tokens, and
 components are built; then only texts of different components that share a token are compared. What is left out
@@ -86,12 +88,22 @@ def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
     return both >= similarity * (len(a) + len(b) - both) - 1e-9
 
 
-def sketch(own: np.ndarray) -> int:
-    """SimHash of a set of shingles."""
+def sketch(own: np.ndarray) -> list[int]:
+    """SimHash of a set of shingles, and the two halves of its parity bitmap."""
     if not len(own):
-        return 0
+        return [0, 0, 0]
     bits = np.unpackbits(own.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * bits > len(own), bitorder="little").view(np.int64)[0])
+    parity = np.bincount((own & U64(127)).astype(np.int64), minlength=128) & 1
+    return np.packbits(np.concatenate([2 * bits > len(own), parity.astype(bool)]), bitorder="little").view(np.int64).tolist()
+
+
+def unlike(n, similarity: float):
+    """Shingles that are in one of two similar sets only, at most, if the sets have n shingles in all."""
+    return n - 2 * np.ceil(similarity / (1 + similarity) * n - 1e-9)
+
+
+#: What is carried with a text's tokens.
+SKETCH = ["n", "print", "low", "high"]
 
 
 def common_shingles(texts: DataFrame, shingle: int) -> np.ndarray:
@@ -113,7 +125,7 @@ def _tokens(shingle: int, similarity: float, common):
     def run(batches):
         hot, done = common.value, set()
         for b in slices(batches):
-            token, key, size, print_ = [], [], [], []
+            token, rows = [], []
             for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 if k in done:
                     continue
@@ -121,26 +133,26 @@ def _tokens(shingle: int, similarity: float, common):
                 own = shingle_set(t, shingle)
                 some = prefix(own, hot, similarity)
                 token.append(some.view(np.int64))
-                for column, value in ((key, k), (size, len(own)), (print_, sketch(own))):
-                    column.append(np.full(len(some), value, np.int64))
+                rows.append(np.tile(np.array([[k, len(own), *sketch(own)]], np.int64), (len(some), 1)))
             if token:
-                columns = [pa.array(np.concatenate(x)) for x in (token, key, size, print_)]
-                yield pa.RecordBatch.from_arrays(columns, ["token", "key", "n", "print"])
+                columns = [np.concatenate(token), *np.concatenate(rows).T]
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x)) for x in columns], ["token", "key", *SKETCH])
 
     return run
 
 
 def _across(similarity: float):
     def run(batches):
-        """From (bucket, root, key, n, print) sorted by bucket: pairs of different roots that may have the similarity."""
+        """From (bucket, root, key, n, print, low, high) sorted by bucket: pairs of different roots that may have the similarity."""
         a, b, total = [], [], 0
 
         def flush():
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (a, b)], ["a", "b"])
 
-        for block, (_, root, key, n, prints) in _runs(batches, 5):
+        for block, (_, root, key, n, *bits) in _runs(batches, 7):
             by = np.lexsort((root, block))
-            block, root, key, n, prints = (x[by] for x in (block, root, key, n, prints.view(U64)))
+            block, root, key, n = (x[by] for x in (block, root, key, n))
+            prints, low, high = (x.view(U64)[by] for x in bits)
             end = np.searchsorted(block, block, "right")
             change = np.concatenate([np.flatnonzero((root[1:] != root[:-1]) | (block[1:] != block[:-1])) + 1, [len(root)]])
             own_end = change[np.searchsorted(change, np.arange(len(root)), "right")]
@@ -148,6 +160,8 @@ def _across(similarity: float):
                 s, e = own_end[i], end[i]
                 fits = np.minimum(n[i], n[s:e]) >= similarity * np.maximum(n[i], n[s:e]) - 1e-9
                 fits &= np.bitwise_count(prints[i] ^ prints[s:e]) <= FAR
+                differ = np.bitwise_count(low[i] ^ low[s:e]).astype(np.int64) + np.bitwise_count(high[i] ^ high[s:e])
+                fits &= differ <= unlike(n[i] + n[s:e], similarity)
                 other = key[s:e][fits]
                 a.append(np.maximum(key[i], other))
                 b.append(np.minimum(key[i], other))
@@ -183,16 +197,16 @@ def _verified(pairs: DataFrame, texts: DataFrame, scratch: Scratch, shingle: int
 
 
 def _dealt(rows: DataFrame, bucket_rows: int, scratch: Scratch) -> DataFrame:
-    """Rows of tokens that several roots share, as (bucket, root, key, n, print): a bucket for each token, or for each pair of
+    """Rows of tokens that several roots share, as (bucket, root, key, sketch): a bucket for each token, or for each pair of
     chunks of a large one."""
     counted = rows.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("texts"))
     asked = few(scratch.table(counted.filter("low <> high").select("token", "texts")))
     met = rows.join(asked, "token").withColumn("chunks", F.ceil(F.col("texts") * 2 / bucket_rows).cast("int"))
     own = F.pmod(F.xxhash64("key", F.lit(1)), F.col("chunks")).cast("int")
-    usual = met.filter(F.col("texts") <= bucket_rows).select(F.col("token").alias("bucket"), "root", "key", "n", "print")
+    usual = met.filter(F.col("texts") <= bucket_rows).select(F.col("token").alias("bucket"), "root", "key", *SKETCH)
     large = met.filter(F.col("texts") > bucket_rows).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     pair = F.xxhash64("token", F.least("own", "other"), F.greatest("own", "other")).alias("bucket")
-    return usual.unionByName(large.select(pair, "root", "key", "n", "print")).repartition("bucket").sortWithinPartitions("bucket")
+    return usual.unionByName(large.select(pair, "root", "key", *SKETCH)).repartition("bucket").sortWithinPartitions("bucket")
 
 
 def similar_links(docs: DataFrame, prints: DataFrame, near: DataFrame, shingle: int, similarity: float, bucket_rows: int = 20_000) -> DataFrame:
@@ -205,7 +219,7 @@ def similar_links(docs: DataFrame, prints: DataFrame, near: DataFrame, shingle:
     prints = scratch.table(prints.distinct())
     near = scratch.table(near, keep=True)
     common = docs.sparkSession.sparkContext.broadcast(common_shingles(texts, shingle))
-    tokens = scratch.table(texts.mapInArrow(_tokens(shingle, similarity, common), "token long, key long, n long, print long"))
+    tokens = scratch.table(texts.mapInArrow(_tokens(shingle, similarity, common), "token long, key long, n long, print long, low long, high long"))
     several = tokens.groupBy("token").agg(F.min("key").alias("low"), F.max("key").alias("high")).filter("low <> high").select("token")
     shared = scratch.table(tokens.join(few(scratch.table(several)), "token", "left_semi").distinct())
 
@@ -213,15 +227,17 @@ def similar_links(docs: DataFrame, prints: DataFrame, near: DataFrame, shingle:
         fp = lambda name: prints.select(F.col("key").alias(name), F.col("fp").alias(f"fp_{name}"))
         return pairs.join(fp("a"), "a").join(fp("b"), "b").select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b")).filter("a <> b").distinct()
 
-    leaders = shared.groupBy("token").agg(F.min(F.struct("key", "n", "print")).alias("lead"))
+    leaders = shared.groupBy("token").agg(F.min(F.struct("key", *SKETCH)).alias("lead"))
     fits = F.least("n", "lead.n") >= F.lit(similarity) * F.greatest("n", "lead.n") - F.lit(1e-9)
-    close = F.bit_count(F.col("print").bitwiseXOR(F.col("lead.print"))) <= FAR
+    apart = lambda c: F.bit_count(F.col(c).bitwiseXOR(F.col(f"lead.{c}")))
+    both = F.col("n") + F.col("lead.n")
+    close = (apart("print") <= FAR) & (apart("low") + apart("high") <= both - 2 * F.ceil(F.lit(similarity / (1 + similarity)) * both - F.lit(1e-9)))
     led = shared.join(leaders, "token").filter((F.col("key") != F.col("lead.key")) & fits & close)
     led = scratch.table(led.select(F.col("key").alias("a"), F.col("lead.key").alias("b")).distinct())
     links = scratch.table(near.unionByName(linked(_verified(led, texts, scratch, shingle, similarity))), keep=True)
     roots = connected_components(links).withColumnRenamed("node", "fp")
     rooted = scratch.table(prints.join(roots, "fp", "left").select("key", F.coalesce("root", "fp").alias("root")))
-    sides = scratch.table(shared.join(rooted, "key").select("token", "root", "key", "n", "print"))
+    sides = scratch.table(shared.join(rooted, "key").select("token", "root", "key", *SKETCH))
     crossing = _dealt(sides, bucket_rows, scratch).mapInArrow(_across(similarity), "a long, b long").distinct()
     rest = scratch.table(crossing.join(led, ["a", "b"], "left_anti"))
     found = scratch.table(linked(_verified(rest, texts, scratch, shingle, similarity)), keep=True)

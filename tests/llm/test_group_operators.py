@@ -147,6 +147,19 @@ def test_near_dedup_loses_no_similar_pair(spark, monkeypatch, common, bucket_row
     assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs_of(spark, texts), SF).collect()} == set(least.values())
 
 
+def test_sketches_bound_unlike_shingles():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        pool = rng.integers(0, 2**64, 120, dtype=np.uint64)
+        a, b = (np.unique(rng.choice(pool, rng.integers(1, 120))) for _ in range(2))
+        (_, *x), (_, *y) = jaccard.sketch(a), jaccard.sketch(b)
+        differ = sum(((i ^ j) & (2**64 - 1)).bit_count() for i, j in zip(x, y, strict=True))
+        unlike = len(np.setxor1d(a, b))
+        assert differ <= unlike
+        if jaccard.similar(a, b, 0.8):
+            assert unlike <= jaccard.unlike(len(a) + len(b), 0.8)
+
+
 # Suffix arrays -----------------------------------------------------------------------------------------------------------
 
 
